@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, simhash
 
-MODULES = [exact_dedup]
+MODULES = [exact_dedup, simhash]
 
 
 def queries() -> dict:
