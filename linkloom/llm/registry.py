@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, langid, mixing, packing, simhash
+from . import exact_dedup, langid, mixing, packing, quality, simhash
 
-MODULES = [exact_dedup, packing, mixing, langid, simhash]
+MODULES = [exact_dedup, quality, packing, mixing, langid, simhash]
 
 
 def queries() -> dict:
