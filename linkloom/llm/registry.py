@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, langid, licenses, mixing, packing, quality, simhash
+from . import exact_dedup, langid, licenses, mixing, packing, quality, simhash, toxicity
 
-MODULES = [exact_dedup, quality, licenses, packing, mixing, langid, simhash]
+MODULES = [exact_dedup, quality, licenses, packing, mixing, toxicity, langid, simhash]
 
 
 def queries() -> dict:
