@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, hmm, langid, licenses, mixing, packing, quality, simhash, toxicity
+from . import exact_dedup, hmm, langid, licenses, mixing, packing, quality, simhash, toxicity, warc
 
-MODULES = [exact_dedup, quality, licenses, packing, mixing, toxicity, langid, simhash, hmm]
+MODULES = [exact_dedup, quality, licenses, packing, warc, mixing, toxicity, langid, simhash, hmm]
 
 
 def queries() -> dict:
