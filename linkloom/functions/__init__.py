@@ -1,0 +1 @@
+"""Column functions: text normal forms and similarities."""
