@@ -64,7 +64,7 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray
 
     sizes are distinct and positive. A proportional share of each size is taken, then, while more than
     EXACT_WORDS remain, the largest sizes; the remainder is a bounded knapsack over the documents left, solved
-    exactly: every reachable sum up to the remainder plus the smallest size is known, and the nearest wins.
+    exactly: every reachable sum up to the remainder plus the largest size is known, and the nearest wins.
     """
     take = np.zeros(len(sizes), np.int64)
     total = int((sizes * counts).sum())
@@ -87,7 +87,8 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray
     usable = [i for i in np.argsort(sizes) if free[i] > 0]
     if not usable:
         return take
-    top = left + int(sizes[usable[0]])
+    # what lies below is at most the largest size away, so no sum further above can be nearer
+    top = left + int(sizes[usable[-1]])
     # items[k] = (index, documents in the item); powers of two make every number up to the free count
     items, reach, first = [], 1, np.full(top + 1, -1, np.int32)
     full = (1 << (top + 1)) - 1
