@@ -263,9 +263,12 @@ def _sample(train: DataFrame, docs_per_lang: int) -> DataFrame:
         F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
     cut = keyed.select("lang", "rank_key").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= docs_per_lang)
-    last = cut.groupBy("lang").agg(F.max("rank_key").alias("last_key")).select(F.col("lang").alias("l"), "last_key")
-    # one row a language
-    near = keyed.join(last, F.col("lang") == F.col("l")).where(F.col("rank_key") <= F.col("last_key"))
+    # one row a language, as many as the driver builds models for
+    last = {r.lang: r.last_key for r in cut.groupBy("lang").agg(F.max("rank_key").alias("last_key")).collect()}
+    if not last:
+        return keyed.where("false").select("lang", "text", F.lit(True).alias("calibrates"))
+    table = F.create_map(*[F.lit(x) for kv in last.items() for x in kv])
+    near = keyed.where(F.col("rank_key") <= F.try_element_at(table, F.col("lang")))
     return near.select("lang", "text", (F.pmod("rank_key", F.lit(4)) == 0).alias("calibrates"))
 
 
