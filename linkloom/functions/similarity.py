@@ -64,11 +64,13 @@ def partial_ratio(a: str, b: str) -> float:
         return 100.0 if not b else 0.0
     if a in b:
         return 100.0
-    m, best = len(a), 0.0
-    for end in range(1, len(b) + m):
-        start = max(0, end - m)
-        best = max(best, ratio(a, b[start : min(end, len(b))]))
-    return best
+    best = _best_stretch(a, b)
+    return max(best, _best_stretch(b, a)) if len(a) == len(b) else best
+
+
+def _best_stretch(a: str, b: str) -> float:
+    m = len(a)
+    return max(ratio(a, b[max(0, end - m) : end]) for end in range(1, len(b) + m))
 
 
 def jaro_winkler(a: str, b: str) -> float:
