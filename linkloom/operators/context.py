@@ -9,8 +9,8 @@ from pyspark.sql.window import Window
 CONTEXT = ["na_mean", "n_tset", "a_tset", "sk_tset", "ns_ratio", "p0"]
 
 
-def add_context(pairs: DataFrame, columns: list[str]) -> DataFrame:
-    """rank (ties share the best), gap to the best, over i and over j, of each column; candidate counts.
+def add_context(pairs: DataFrame, columns: list[str], prefix: str = "") -> DataFrame:
+    """rank (ties share the best), gap to the best, over i and over j, of each column; candidate counts. ``prefix`` keeps them apart from ranks taken earlier.
 
     All windows over one key share one sort order each for ranks and one plain pass for the rest.
     """
@@ -18,9 +18,9 @@ def add_context(pairs: DataFrame, columns: list[str]) -> DataFrame:
     new = {}
     for c in columns:
         for side, w in (("i", wi), ("j", wj)):
-            new[f"{c}_rk_{side}"] = F.rank().over(w.orderBy(F.desc(c)))
-            new[f"{c}_gap_{side}"] = F.max(c).over(w) - F.col(c)
-    new |= {"ncand_i": F.count(F.lit(1)).over(wi), "ncand_j": F.count(F.lit(1)).over(wj)}
+            new[f"{prefix}{c}_rk_{side}"] = F.rank().over(w.orderBy(F.desc(c)))
+            new[f"{prefix}{c}_gap_{side}"] = F.max(c).over(w) - F.col(c)
+    new |= {f"{prefix}ncand_i": F.count(F.lit(1)).over(wi), f"{prefix}ncand_j": F.count(F.lit(1)).over(wj)}
     return pairs.withColumns(new)
 
 

@@ -33,7 +33,7 @@ def learn_tokens(pairs: DataFrame, min_count: int = MIN_COUNT, min_conf: float =
 
 def learn_segments(pairs: DataFrame, min_count: int = MIN_COUNT, min_conf: float = MIN_CONF) -> DataFrame:
     """(x, y, n, total) from comma segments of source against the distinct ones of target; total counts x's occurrences."""
-    seg = lambda c: F.filter(F.transform(F.split(c, ","), F.trim), lambda s: s != "")
+    seg = lambda c: F.filter(F.transform(F.split(c, ","), lambda s: F.trim(s)), lambda s: s != "")
     left = pairs.select(F.explode(seg("source")).alias("x"), F.array_distinct(seg("target")).alias("ys"))
     counted = left.select("x", F.explode("ys").alias("y")).groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
     return most_confident(counted, "x", "y", left.groupBy("x").agg(F.count(F.lit(1)).alias("total")), min_count, min_conf)

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from ..functions.fold import fold_distinct
 from ..functions.text import norm_addr, norm_name
 from ..operators import blocking, context, decide, features, learn, tokens
+from ..sources.scratch import materialised
 
 
 def prepare(sources: list[DataFrame], dictionary: dict[str, str] | None = None) -> DataFrame:
@@ -58,7 +59,7 @@ BLOCK_FEATURES = [
     "ov_name_s", "ov_an_s", "bs_gap_i", "ov_name_s_gap_i", "ov_an_s_gap_i", "nc_i", "nc_j", "bs_gap_j",
 ]
 STRING_FEATURES = [*[f"n_{s}" for s in ("ratio", "tset", "tsort", "partial", "jw")], *[f"a_{s}" for s in ("ratio", "tset", "tsort", "partial")], "ns_ratio", "ns_partial", "ns_lev", "ns_len_i", "ns_len_j", "ns_contains", "sk_ratio", "sk_tset", "nf_tset"]
-CONTEXT_FEATURES = [*[f"{c}_{k}_{s}" for c in context.CONTEXT for s in "ij" for k in ("rk", "gap")], "ncand_i", "ncand_j"]
+CONTEXT_FEATURES = [*[f"c_{c}_{k}_{s}" for c in context.CONTEXT for s in "ij" for k in ("rk", "gap")], "c_ncand_i", "c_ncand_j"]
 SECOND_STAGE = ["p1", "p1_rk_i", "p1_rk_j", "p1_gap_i", "p1_gap_j", "p1_sum_i", "p1_sum_j", "p1_n05_i", "p1_n05_j", "n_i", "p1_other_j", "p1_second_i", "p1_margin_j", "bs", "b_ntok", "n_tset", "a_tset", "na_mean", "name_tok_jac", "addr_tok_jac", "num_jac"]
 
 
@@ -72,7 +73,10 @@ def first_stage_columns() -> list[str]:
 
 @dataclass
 class Matcher:
-    """Pruner, first stage of two folds, second stage and thresholds. fit() needs the truth (i, j) of the records."""
+    """Pruner, first stage of two folds, second stage and thresholds. fit() needs the truth (i, j) of the records.
+
+    Stages are written to tables at the model boundaries, as every fit reads its input many times.
+    """
 
     rounds: int = 20
     keep: tuple[int, int, float] = (20, 3, 0.002)
@@ -85,12 +89,14 @@ class Matcher:
         pairs, _ = candidates(records)
         if labels is not None:
             pairs = pairs.join(labels.select("i", "j", F.lit(1).alias("y")), ["i", "j"], "left").na.fill({"y": 0})
+            pairs = materialised(pairs, "pairs")
             self.pruner = [learn.fit_gbt(pairs, BLOCK_FEATURES, "y", rounds=self.rounds)]
         scored = learn.score_with(self.pruner, pairs, BLOCK_FEATURES, "p0")
         k, r, p_min = self.keep
-        kept = context.prune_keep(scored, "p0", k, r, p_min)
+        kept = materialised(context.prune_keep(scored, "p0", k, r, p_min), "pruned")
         ready = features.record_columns(records).join(features.name_frequency(records), "idx")
-        return context.add_context(features.pair_features(kept, ready), context.CONTEXT)
+        made = materialised(features.pair_features(kept, ready), "features")
+        return materialised(context.add_context(made, context.CONTEXT, "c_"), "context")
 
     def fit(self, records: DataFrame, truth: DataFrame) -> DataFrame:
         """Returns the training pairs with out-of-fold p1 and the second-stage p2."""
@@ -98,13 +104,13 @@ class Matcher:
         made = self._features(records, truth).withColumn("fold", learn.fold_of(F.col("i")))
         fit = lambda df: learn.ensemble(df, columns, "y", rounds=self.rounds)
         scored, self.first = learn.out_of_fold(made, columns, "y", "fold", "p1", fit)
-        second = context.score_context(scored, "p1")
+        second = materialised(context.score_context(materialised(scored, "p1"), "p1"), "second")
         self.second = [learn.fit_gbt(second.where("fold = 0"), SECOND_STAGE, "y", rounds=self.rounds, depth=4, step=0.05)]
         return learn.score_with(self.second, second, SECOND_STAGE, "p2")
 
     def score(self, records: DataFrame) -> DataFrame:
         made = learn.score_with(self.first, self._features(records, None), first_stage_columns(), "p1")
-        return learn.score_with(self.second, context.score_context(made, "p1"), SECOND_STAGE, "p2")
+        return learn.score_with(self.second, context.score_context(materialised(made, "p1"), "p1"), SECOND_STAGE, "p2")
 
     def predict(self, records: DataFrame) -> DataFrame:
         thr, thr2 = self.thresholds

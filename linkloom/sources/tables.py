@@ -56,7 +56,7 @@ def convert(spark: SparkSession, tsv_dir: str, out_dir: str) -> list[str]:
 
 def explode_truth(truth: DataFrame) -> DataFrame:
     """(source1_entity_id, entity_id): one row a true pair."""
-    ids = F.transform(F.split("matched_entity_ids", ","), F.trim)
+    ids = F.transform(F.split("matched_entity_ids", ","), lambda x: F.trim(x))
     return truth.select("source1_entity_id", F.explode(F.filter(ids, lambda x: x != "")).alias("entity_id"))
 
 
