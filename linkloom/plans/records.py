@@ -13,7 +13,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def records_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """idx, entity_id, src (1 to 3), country_n, name_core (words 1-4), addr_core (words 5-14 and a house number)."""
+    """idx, entity_id, src (1 to 3), country_n, name_core (words 1-4), addr_core (a house number and words 5-14)."""
     docs = table(spark, sf_dir, "documents")
     words = F.filter(F.split(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " "), " "), lambda w: w != "")
     src = (F.pmod("doc_id", F.lit(3)) + 1).cast("int")
@@ -25,7 +25,7 @@ def records_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         "src",
         "country_n",
         F.array_join(F.slice("w", 1, 4), " ").alias("name_core"),
-        F.array_join(F.concat(F.slice("w", 5, 10), F.array(number)), " ").alias("addr_core"),
+        F.array_join(F.concat(F.array(number), F.slice("w", 5, 10)), " ").alias("addr_core"),
     )
 
 
@@ -39,7 +39,7 @@ def truth_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 RECORDS_SQL = """records AS (
   SELECT idx, 'S' || src || '-' || idx AS entity_id, src, country_n, array_to_string(w[1:4], ' ') AS name_core,
-         array_to_string(list_concat(w[5:14], [CAST(idx % 97 + 1 AS VARCHAR)]), ' ') AS addr_core
+         array_to_string(list_concat([CAST(idx % 97 + 1 AS VARCHAR)], w[5:14]), ' ') AS addr_core
   FROM (SELECT doc_id AS idx, CAST(1 + doc_id % 3 AS INTEGER) AS src, lang AS country_n,
                list_filter(string_split(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM documents))"""
 
