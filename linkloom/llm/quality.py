@@ -182,4 +182,47 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op2_quality_rules": op2_quality_rules}
-ORACLE: dict[str, str] = {}
+
+
+# --- SQL counterpart ----------------------------------------------------------------------------------------------
+
+
+def _sql() -> str:
+    """The whole operator in DuckDB SQL: words by unnesting, and the binomial bound by its sum of terms."""
+    grid = ", ".join(f"('{rule}', {i}, {c}, {RULES[rule][2] == 'high'})" for rule, cutoffs in GRID.items() for i, c in enumerate(cutoffs))
+    ratio = "CASE rule " + " ".join(f"WHEN '{rule}' THEN CAST({up} AS DOUBLE) / nullif({down}, 0)" for rule, (up, down, _) in RULES.items()) + " END"
+    beyond = f"coalesce(CASE WHEN high THEN {ratio} > cutoff ELSE {ratio} < cutoff END, false)"
+    p = RISK / len(RULES)
+    term = f"exp(lgamma(n + 1) - lgamma(x + 1) - lgamma(n - x + 1) + x * ln({p}) + (n - x) * ln(1 - {p}))"
+    return f"""
+WITH base AS (
+  SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda s: regexp_matches(s, '[^\\x20\\x09-\\x0D]')) AS l
+  FROM documents),
+words AS (SELECT doc_id, unnest(w) AS a, generate_subscripts(w, 1) AS place FROM base),
+windows AS (SELECT *, lead(a, 1) OVER o AS b, lead(a, 2) OVER o AS c FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY place)),
+again AS (SELECT doc_id, place FROM windows WHERE c IS NOT NULL QUALIFY count(*) OVER (PARTITION BY doc_id, a, b, c) > 1),
+covered AS (SELECT doc_id, count(DISTINCT spot) AS n FROM (SELECT doc_id, place + unnest([0, 1, 2]) AS spot FROM again) GROUP BY doc_id),
+counted AS (
+  SELECT doc_id, lang, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(regexp_replace(t, '[^{SYMBOLS}]', '', 'g')) AS n_symbols,
+         len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words
+  FROM base LEFT JOIN covered USING (doc_id)),
+stats AS (SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEAT_PERCENT} * n_words AS base_failed FROM counted),
+grid(rule, step, cutoff, high) AS (VALUES {grid}),
+good AS (SELECT stats.* FROM stats JOIN (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1) USING (doc_id)),
+tests AS (SELECT count(*) * {len(GRID)} AS m FROM (SELECT DISTINCT lang FROM good)),
+tallies AS (
+  SELECT lang, rule, step, cutoff, high, count(*) FILTER (NOT base_failed AND {beyond}) AS k, count(*) FILTER (NOT base_failed) AS n
+  FROM good CROSS JOIN grid GROUP BY ALL),
+bounds AS (
+  SELECT *, CASE WHEN k >= n THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda x: {term})) END > {DELTA} / m AS fails FROM tallies CROSS JOIN tests),
+passed AS (SELECT * FROM bounds QUALIFY NOT bool_or(fails) OVER (PARTITION BY lang, rule ORDER BY step)),
+cutoffs AS (SELECT * FROM passed QUALIFY row_number() OVER (PARTITION BY lang, rule ORDER BY step DESC) = 1),
+rejected AS (SELECT DISTINCT doc_id FROM stats JOIN cutoffs ON stats.lang IS NOT DISTINCT FROM cutoffs.lang WHERE {beyond})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept
+FROM stats
+"""
+
+
+ORACLE = {"op2_quality_rules": _sql()}
