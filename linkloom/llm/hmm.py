@@ -203,9 +203,10 @@ def build_vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
     trained = np.array([r.trained for r in frequent], np.int64)
     own = int((trained >= max(1.0, OWN_SHARE * tokens)).sum())
     least = int(trained[own - 1]) if own else None
-    # ties at the border: all words with that count are frequent, so all of them are in own
+    # a word outside the lexicon is never in own, even where few rows train and its count would do
+    lexical = F.col("trained") + F.col("other") >= LEXICON_SHARE * every
     bucket = F.crc32(F.substring("word", -SUFFIX, SUFFIX)) % BUCKETS
-    rest = counts.where(F.col("trained") < least) if own else counts
+    rest = counts.where((F.col("trained") < least) | ~lexical) if own else counts
     shared = np.zeros((BUCKETS, 2))
     for r in rest.groupBy(bucket.alias("b")).agg(F.sum("trained").alias("n"), F.count_if(F.col("trained") > 0).alias("v")).collect():
         shared[r.b] = r.n, r.v
