@@ -4,8 +4,11 @@ import hashlib
 import itertools
 import math
 import random
+import re
+import string
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -21,6 +24,18 @@ def test_registry():
     assert sorted(names) == sorted(f"op{k}" for k in range(1, 11))
 
 
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+def test_query_equals_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "labels", "pages"):
+        con.sql(f"create view {table} as from '{SF}/{table}.parquet'")
+    got, want = registry.queries()[name](spark, SF).toPandas(), con.sql(registry.oracle_sql()[name]).df()
+    columns = sorted(want.columns)
+    rows = lambda frame: sorted(frame[columns].astype(object).where(frame[columns].notna(), None).values.tolist(), key=repr)
+    assert sorted(got.columns) == columns
+    assert rows(got) == rows(want)
+
+
 def test_attach_facts_hot_and_cold(spark):
     members = spark.range(5000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k")).union(spark.createDataFrame([(9999, None)], "id long, k string"))
     facts = members.where("k is not null").groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("top"))
@@ -71,6 +86,18 @@ def test_license_suppression(spark):
     assert len(licenses.rules()) > 300
 
 
+def test_license_base_facts(spark):
+    lower = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+    odd = ["CC-BY cc by, cc  by", "all rights\nreserved", "x" * 50 + " cc byte", "General Public License general public license", "École cc by é", "cc", "...", "", None]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").union(spark.createDataFrame([(-1 - k, t) for k, t in enumerate(odd)], "doc_id long, text string"))
+    got = {r.doc_id: (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in licenses.license_scan(docs).collect()}
+    for r in docs.collect():
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (r.text or "").translate(lower))
+        at = [(i, label) for phrase, label in licenses.BASE.items() for i in range(len(words)) if words[i : i + len(phrase.split())] == phrase.split()]
+        places = [i for i, _ in at]
+        assert got[r.doc_id] == (len(words), len(at), min(places, default=None), max(places, default=None), ",".join(sorted({x for _, x in at}))), r.text[:200]
+
+
 def test_tokens_equal_the_tokenizer():
     encode = packing.TokenBytes(packing.tokenizer_path(), cache=50)
     for c in range(0x250):
