@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import exact_dedup, langid, mixing, packing, simhash
+from linkloom.llm import exact_dedup, langid, minhash, mixing, packing
 from linkloom.llm.common import scratch_path
 
 
@@ -23,8 +23,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each near-duplicate group the row with the smallest doc_id stays."""
-    return simhash.keep_one_per_group(docs)
+    """Of each group linked by five-word shingles at similarity 0.8 or more, the row with the smallest doc_id stays."""
+    return minhash.keep_one_per_group(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

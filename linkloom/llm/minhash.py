@@ -1,0 +1,193 @@
+"""Near-duplicate groups by verified Jaccard similarity of word shingles, with MinHash bands as candidates.
+
+Two texts are near copies when the sets of their shingles of ``width`` words have a Jaccard similarity of at least
+``similarity``. Candidates share one of 20 bands of 5 minimum hashes: at similarity 0.8 with probability 0.9997,
+more above. Every link is verified on the two whole shingle sets; bands only propose.
+
+A band's bucket of m texts is never multiplied out where its texts hang together: first each text meets its two
+neighbours in a seeded order of the bucket; only where verified links leave a bucket in several components do texts of different components
+meet, all of them whose 100 minimum hashes agree in a share of at least ``similarity - SLACK``. Texts of one
+component needn't meet, the groups being the components. Nothing is capped: a bucket of m texts unlike each other, yet above that share, costs m x m pairs.
+
+A node is the 64-bit hash of a text's lower-cased words, so texts of the same words are one node.
+
+Defined results: texts without a word are copies of each other and of nothing else; null doc_ids take part and never
+name a component unless all its ids are null; an empty table gives an empty result.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .common import ascii_lower, attach_facts, stored
+from .simhash import components, near_groups, shingle_hashes
+
+WIDTH = 5
+SIMILARITY = 0.8
+BANDS, ROWS = 20, 5
+#: Almost four standard deviations of the estimate from 100 minimum hashes at similarity 0.8.
+SLACK = 0.15
+#: Shingles hashed at once; bounds memory on very long texts.
+BLOCK = 1 << 12
+_RNG = np.random.default_rng(9)
+_FACTORS = _RNG.integers(0, 2**63, (BANDS * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SHIFTS = _RNG.integers(0, 2**63, (BANDS * ROWS, 1), dtype=np.uint64)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def text_node(text: Column) -> Column:
+    words = F.regexp_replace(ascii_lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+", " ")
+    return F.xxhash64(F.trim(words))
+
+
+def minima(hashes: np.ndarray) -> np.ndarray:
+    """The minimum of each of the 100 hash functions over a set of shingle hashes that isn't empty."""
+    low = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
+    for at in range(0, len(hashes), BLOCK):
+        np.minimum(low, (hashes[None, at : at + BLOCK] * _FACTORS + _SHIFTS).min(axis=1), out=low)
+    return low
+
+
+def band_keys(low: np.ndarray) -> np.ndarray:
+    out = np.zeros(BANDS, np.uint64)
+    for column in low.reshape(BANDS, ROWS).T:
+        out = (out ^ column) * _MIX
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def signature_udf(width: int = WIDTH):
+    """Arrow UDF from a text column to struct(bands, low): a key a band, and a byte of each minimum hash; null without a word."""
+
+    @F.arrow_udf("struct<bands:array<long>,low:binary>")
+    def signature(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            bands, lows = [], []
+            for text in texts.to_pylist():
+                hashes = np.unique(shingle_hashes(text, width))
+                low = minima(hashes) if len(hashes) else None
+                bands.append(None if low is None else band_keys(low).view(np.int64))
+                # the high byte of a minimum is hardly ever other than zero
+                lows.append(None if low is None else (low * _MIX >> np.uint64(56)).astype(np.uint8).tobytes())
+            yield pa.StructArray.from_arrays([pa.array(bands, pa.list_(pa.int64())), pa.array(lows, pa.binary())], ["bands", "low"])
+
+    return signature
+
+
+def shingles_udf(width: int = WIDTH):
+    """Arrow UDF from a text column to the sorted set of its shingle hashes."""
+
+    @F.arrow_udf("array<long>")
+    def shingles(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array([np.unique(shingle_hashes(x, width)).view(np.int64) for x in texts.to_pylist()], pa.list_(pa.int64()))
+
+    return shingles
+
+
+def alike_udf(similarity: float):
+    """Arrow UDF from two columns of shingle sets to whether their Jaccard similarity reaches the bound."""
+
+    @F.arrow_udf("boolean")
+    def alike(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for left, right in batches:
+            out = []
+            for x, y in zip(left, right):
+                x, y = x.values.to_numpy(), y.values.to_numpy()
+                # the sizes alone can rule a pair out
+                both = 0 if min(len(x), len(y)) < similarity * max(len(x), len(y)) else len(np.intersect1d(x, y, assume_unique=True))
+                out.append(both >= similarity * (len(x) + len(y) - both) - 1e-9 and both > 0)
+            yield pa.array(out, pa.bool_())
+
+    return alike
+
+
+def _neighbours(buckets: DataFrame) -> DataFrame:
+    """Pairs (a, b) that follow each other in a bucket, in an order of its own for each band."""
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for place, nodes in zip(batch.column("place").to_pylist(), batch.column("nodes")):
+                nodes = nodes.values.to_numpy()
+                nodes = nodes[np.argsort((nodes.view(np.uint64) ^ np.uint64(place)) * _FACTORS[place, 0])]
+                a.append(nodes[:-1])
+                b.append(nodes[1:])
+            a, b = np.concatenate(a), np.concatenate(b)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    return buckets.select("place", "nodes").mapInArrow(walk, "a long, b long").distinct()
+
+
+def _across(buckets: DataFrame, signatures: DataFrame, roots: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of a bucket in different components whose minimum hashes agree in a share of at least ``least``."""
+    members = buckets.select("place", "shared", F.explode("nodes").alias("node")).join(signatures.select("node", "low"), "node")
+    members = members.join(roots, "node", "left").select("place", "shared", F.struct("node", F.coalesce("root", "node").alias("root"), "low").alias("m"))
+    torn = members.groupBy("place", "shared").agg(F.collect_list("m").alias("ms"), F.min("m.root").alias("x"), F.max("m.root").alias("y"))
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ms in batch.column(0):
+                ms = ms.values
+                node, root = ms.field("node").to_numpy(), ms.field("root").to_numpy()
+                low = np.frombuffer(b"".join(ms.field("low").to_pylist()), np.uint8).reshape(len(node), -1)
+                kinds, which, sizes = np.unique(root, return_inverse=True, return_counts=True)
+                # components from the largest on, so that the largest is met and never meets
+                rank = np.argsort(np.argsort(-sizes, kind="stable"))[which]
+                a, b = [], []
+                for i in np.nonzero(rank > 0)[0]:
+                    rest = np.nonzero(rank < rank[i])[0]
+                    near = rest[(low[rest] == low[i]).sum(axis=1) >= least * low.shape[1]]
+                    a.append(np.full(len(near), node[i]))
+                    b.append(node[near])
+                a, b = np.concatenate(a), np.concatenate(b)
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    return torn.where("x <> y").select("ms").mapInArrow(walk, "a long, b long").distinct()
+
+
+def links(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH) -> DataFrame:
+    """Verified edges (a, b) between nodes; their components are those of all near copies that share a band."""
+    noded = docs.select(text_node(F.col("text")).alias("node"), "text")
+    signatures = noded.select("node", signature_udf(width)("text").alias("s")).groupBy("node").agg(F.first("s").alias("s"))
+    signatures = stored(signatures.select("node", "s.bands", "s.low").where("bands is not null"), "signatures")
+    posted = signatures.select("node", F.posexplode("bands").alias("place", "shared"))
+    buckets = stored(posted.groupBy("place", "shared").agg(F.collect_list("node").alias("nodes")).where(F.size("nodes") > 1), "buckets")
+    wanted = stored(buckets.select(F.explode("nodes").alias("node")).distinct(), "wanted")
+    texts = noded.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    sets = stored(texts.select("node", shingles_udf(width)("text").alias("held")), "shingles")
+
+    def verified(pairs: DataFrame, tag: str) -> DataFrame:
+        left, right = (sets.select(F.col("node").alias(x), F.col("held").alias(f"of_{x}")) for x in "ab")
+        return stored(pairs.join(left, "a").join(right, "b").where(alike_udf(similarity)("of_a", "of_b")).select("a", "b"), tag)
+
+    near = verified(_neighbours(buckets), "near")
+    return near.union(verified(_across(buckets, signatures, components(near), similarity - SLACK), "across"))
+
+
+def keep_one_per_group(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH) -> DataFrame:
+    """The rows of docs that stay: the one with the smallest doc_id of every near-duplicate group.
+
+    Rows that repeat both doc_id and words are copies of one document; one of them stays.
+    """
+    prints = stored(docs.select("doc_id", text_node(F.col("text")).alias("fp")), "nodes")
+    facts = stored(near_groups(prints, edges=links(docs, similarity, width)), "groups")
+    told = attach_facts(prints, facts, "fp", "n", prints.count(), ["component_id", "keep_fp"])
+    wins = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("fp") == F.col("keep_fp"))
+    # one row a (doc_id, fp) that occurs: whether it stays, and how often it is there
+    fate = stored(told.groupBy("doc_id", "fp").agg(F.max(wins).alias("wins"), F.count(F.lit(1)).alias("times")), "fate")
+    lost = fate.where(~F.col("wins")).select("doc_id", "fp")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", text_node(F.col("text")).alias("fp"))
+    same = lambda x, y: x.doc_id.eqNullSafe(y.doc_id) & (x.fp == y.fp)
+    kept = rows.join(lost, same(rows, lost), "left_anti")
+    twice = fate.where(F.col("wins") & (F.col("times") > 1)).select("doc_id", "fp")
+    if not twice.isEmpty():
+        once = kept.join(twice, same(kept, twice), "left_anti")
+        more = kept.join(twice, same(kept, twice), "left_semi").groupBy("doc_id", "fp").agg(F.first("row").alias("row"))
+        kept = once.select("row").union(more.select("row"))
+    return kept.select("row.*")

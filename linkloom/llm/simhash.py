@@ -152,11 +152,16 @@ def components(edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
-def near_groups(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """Facts a distinct fingerprint of prints (doc_id, fp): n, root fingerprint, component_id, keep (doc_id, fp) of the component."""
+def near_groups(prints: DataFrame, max_bits: int = MAX_BITS, edges: DataFrame | None = None) -> DataFrame:
+    """Facts a distinct fingerprint of prints (doc_id, fp): n, root fingerprint, component_id, keep (doc_id, fp) of the component.
+
+    ``edges`` (a, b), if given, link the fingerprints instead of their distance.
+    """
     spark = prints.sparkSession
     distinct = stored(prints.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id")), "prints")
-    roots = components(stored(links(distinct.repartition(shuffle_partitions(spark), "fp"), max_bits), "links"))
+    if edges is None:
+        edges = stored(links(distinct.repartition(shuffle_partitions(spark), "fp"), max_bits), "links")
+    roots = components(edges)
     rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "n", "first_id", F.coalesce("root", "fp").alias("root"))
     # null ids last: an id names the component if there is one
     best = F.min(F.struct(F.col("first_id").isNull(), F.col("first_id"), F.col("fp"))).alias("best")
@@ -185,29 +190,6 @@ def near_components(docs: DataFrame, width: int = SHINGLE, max_bits: int = MAX_B
     return out.select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def keep_one_per_group(docs: DataFrame, width: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of docs that stay: the one with the smallest doc_id of every near-duplicate group.
-
-    Rows that repeat both doc_id and fingerprint are copies of one document; one of them stays.
-    """
-    prints = stored(docs.select("doc_id", simhash_udf(width)("text").alias("fp")), "simhash")
-    facts = stored(near_groups(prints, max_bits), "groups")
-    told = attach_facts(prints, facts, "fp", "n", prints.count(), ["component_id", "keep_fp"])
-    wins = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("fp") == F.col("keep_fp"))
-    # one row a (doc_id, fp) that occurs: whether it stays, and how often it is there
-    fate = stored(told.groupBy("doc_id", "fp").agg(F.max(wins).alias("wins"), F.count(F.lit(1)).alias("times")), "fate")
-    lost = fate.where(~F.col("wins")).select("doc_id", "fp")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", simhash_udf(width)("text").alias("fp"))
-    same = lambda x, y: x.doc_id.eqNullSafe(y.doc_id) & (x.fp == y.fp)
-    kept = rows.join(lost, same(rows, lost), "left_anti")
-    twice = fate.where(F.col("wins") & (F.col("times") > 1)).select("doc_id", "fp")
-    if not twice.isEmpty():
-        once = kept.join(twice, same(kept, twice), "left_anti")
-        more = kept.join(twice, same(kept, twice), "left_semi").groupBy("doc_id", "fp").agg(F.first("row").alias("row"))
-        kept = once.select("row").union(more.select("row"))
-    return kept.select("row.*")
-
-
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(documents(spark, sf_dir))
 
