@@ -7,7 +7,9 @@ every language's probability, so that a text is scored for all languages in one
 The language with the lowest cross-entropy a character wins; a rejection threshold is calibrated per
 language on held-back rows of the training sample (split-conformal quantile).
 
-The sample is bounded: at most ``docs_per_lang`` rows of each language, the ones with the smallest seeded hash.
+The sample is bounded: of each language the rows with the smallest seeded hash, ``FIT_DOCS`` to fit on and up to
+``CALIBRATION_DOCS`` more to calibrate on; of a language with fewer rows than 4/3 x ``FIT_DOCS`` a quarter calibrates. The quantile at
+``REJECT_SHARE`` exists from 999 calibration rows on; with fewer the limit is the largest value and as much again.
 
 Defined results: ``und`` with score 0 for null text and text without a letter; ties go to the first language in
 code-point order; with no labelled row at all every text is ``und``; an empty table gives an empty result.
@@ -32,8 +34,10 @@ from pyspark.sql.window import Window
 from .common import documents
 
 ORDER = 4
-#: Rows of a language that a model is fitted on, at most; a quarter of them calibrate.
-DOCS_PER_LANG = 600
+#: Rows of a language that a model is fitted on, at most.
+FIT_DOCS = 450
+#: Further rows of a language that calibrate its threshold, at most: four times what the quantile at REJECT_SHARE needs.
+CALIBRATION_DOCS = 4000
 SEED = 8
 #: Share of in-language texts that the calibrated threshold may reject.
 REJECT_SHARE = 0.001
@@ -233,7 +237,7 @@ class KneserNey:
             self.mean[j] = np.average(h, weights=n)
             odd = np.sort(self._oddness(h, n, self.mean[j]))
             rank = math.ceil((len(odd) + 1) * (1 - share))
-            # a quantile beyond the sample: its largest value and as much again
+            # a quantile beyond the sample (small tables only): its largest value and as much again
             self.limit[j] = odd[rank - 1] if rank <= len(odd) else 2 * odd[-1] + 0.5
 
     @staticmethod
@@ -256,23 +260,37 @@ class KneserNey:
         return langs, np.where(void, 0.0, score), np.where(void, 0.0, low), void | odd
 
 
-def _sample(train: DataFrame, docs_per_lang: int) -> DataFrame:
-    """At most docs_per_lang rows (lang, text, calibrates) of every language, by seeded hash of id and text."""
-    order = Window.partitionBy("lang").orderBy("rank_key")
+def _sample(train: DataFrame, fit_docs: int, calibration_docs: int) -> DataFrame:
+    """At most fit_docs + calibration_docs rows (lang, text, calibrates) of every language, by seeded hash of id and text.
+
+    A language's rows are counted first: those whose hash is too large to be among the wanted (but for six standard
+    deviations) never reach the window.
+    """
+    wanted = fit_docs + calibration_docs
     keyed = train.select("lang", "text", F.xxhash64(F.lit(SEED), "doc_id", F.length("text")).alias("rank_key")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
-    cut = keyed.select("lang", "rank_key").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= docs_per_lang)
     # one row a language, as many as the driver builds models for
-    last = {r.lang: r.last_key for r in cut.groupBy("lang").agg(F.max("rank_key").alias("last_key")).collect()}
-    if not last:
+    sizes = {r.lang: r.n for r in keyed.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not sizes:
         return keyed.where("false").select("lang", "text", F.lit(True).alias("calibrates"))
-    table = F.create_map(*[F.lit(x) for kv in last.items() for x in kv])
-    near = keyed.where(F.col("rank_key") <= F.try_element_at(table, F.col("lang")))
-    return near.select("lang", "text", (F.pmod("rank_key", F.lit(4)) == 0).alias("calibrates"))
+
+    def by_lang(values: dict) -> Column:
+        return F.try_element_at(F.create_map(*[F.lit(x) for kv in values.items() for x in kv]), F.col("lang"))
+
+    share = {k: min(1.0, (wanted + 6 * math.sqrt(wanted) + 20) / n) for k, n in sizes.items()}
+    early = keyed.where(F.col("rank_key") <= by_lang({k: min(2**63 - 1, int(2**64 * x) - 2**63) for k, x in share.items()}))
+    fits = {k: min(fit_docs, n * 3 // 4) for k, n in sizes.items()}
+    order = Window.partitionBy("lang").orderBy("rank_key")
+    cut = early.select("lang", "rank_key").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= wanted)
+    marks = cut.groupBy("lang").agg(F.max("rank_key").alias("last"), F.max(F.when(F.col("nth") <= by_lang(fits), F.col("rank_key"))).alias("last_fit")).collect()
+    near = early.where(F.col("rank_key") <= by_lang({r.lang: r["last"] for r in marks}))
+    # a language of one row has none to fit on
+    last_fit = by_lang({r.lang: -(2**63) if r.last_fit is None else r.last_fit for r in marks})
+    return near.select("lang", "text", (F.col("rank_key") > last_fit).alias("calibrates"))
 
 
-def train_language_models(train: DataFrame, docs_per_lang: int = DOCS_PER_LANG, order: int = ORDER) -> KneserNey:
+def train_language_models(train: DataFrame, fit_docs: int = FIT_DOCS, calibration_docs: int = CALIBRATION_DOCS, order: int = ORDER) -> KneserNey:
     """Fit on train (doc_id, text, lang); n-grams are counted on the executors, in as many tasks as the sample has."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -284,7 +302,7 @@ def train_language_models(train: DataFrame, docs_per_lang: int = DOCS_PER_LANG,
                     kinds, n = np.unique(np.concatenate(grams), axis=0, return_counts=True)
                     yield pd.DataFrame({"lang": lang, "gram": [bytes(k.astype("<u4")) for k in kinds], "n": n})
 
-    sample = _sample(train, docs_per_lang)
+    sample = _sample(train, fit_docs, calibration_docs)
     counted = sample.where(~F.col("calibrates")).select("lang", "text").mapInPandas(count, "lang string, gram binary, n long")
     counts: dict[str, dict[tuple, int]] = {}
     for row in counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toLocalIterator():
@@ -298,7 +316,7 @@ def train_language_models(train: DataFrame, docs_per_lang: int = DOCS_PER_LANG,
                 yield pd.DataFrame({"lang": frame.lang, "h": list(h), "n": n})
 
         held = sample.where("calibrates").select("lang", "text").mapInPandas(measure, "lang string, h array<double>, n long")
-        model.calibrate([(r.lang, np.array(r.h), r.n) for r in held.toLocalIterator()])
+        model.calibrate([(r.lang, np.array(r.h), r.n) for r in held.collect()])
     return model
 
 
