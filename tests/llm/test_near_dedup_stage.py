@@ -3,7 +3,10 @@
 import itertools
 import random
 
+import pytest
+
 import corpus_pipeline
+from linkloom.llm import bands
 
 
 def shingles(text, width=5):
@@ -30,7 +33,10 @@ def brute_kept(docs):
     return {i for i in docs if find(i) == i}, links
 
 
-def test_near_copies_equal_brute_force(spark):
+@pytest.mark.parametrize("chunk", [4096, 16])
+def test_near_copies_equal_brute_force(spark, monkeypatch, chunk):
+    # with small chunks, large buckets are dealt out and met in blocks
+    monkeypatch.setattr(bands.proposals, "__defaults__", (chunk,))
     rng, docs = random.Random(4), {}
     words = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
     for _ in range(25):
