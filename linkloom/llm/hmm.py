@@ -8,9 +8,9 @@ open vocabulary, while what the executors need of the HMM is states x classes nu
 * Counts: words are counted on every partition and merged by word; the table stays distributed.
 * Words with LEXICON_SHARE of the tokens (at most 1/LEXICON_SHARE words) are broadcast. All other words of a document
   meet their counts in a shuffled join keyed by word, in which no key is hot by construction.
-* Training: Baum-Welch over all training documents. Every task runs scaled forward-backward over its rows and emits
-  expected counts, which are summed across partitions; a round reads compact class sequences, not texts.
-  Long sequences are trained in runs of SEGMENT classes.
+* Training: Baum-Welch over all training documents, whole. Every task runs scaled forward-backward over its rows and emits
+  expected counts, which are summed across partitions; a round reads compact class sequences, not texts. A few rounds over a share of
+  the documents come first; those over all of them end when the log10 likelihood gains less than LEAST_GAIN a token, or after ``rounds``.
 * Scoring: the scaled forward recursion over the whole class sequence gives the exact likelihood.
 
 Defined results: null text is the end alone; a null doc_id trains; without any training document the counts are 0 and
@@ -34,15 +34,20 @@ from .common import documents, stored
 from .langid import held_out
 
 STATES = 8
-ROUNDS = 4
+#: Baum-Welch rounds over all training documents at most, and the log10 likelihood a token that one must gain for another to follow.
+ROUNDS = 5
+LEAST_GAIN = 1e-3
+#: Rounds before them over one in WARM_SHARE training documents (by hash), from which the states take their first shape.
+WARM_ROUNDS, WARM_SHARE = 12, 8
 SEED = 10
-OWN_SHARE = 1 / 2000
+OWN_SHARE = 1 / 20_000
 LEXICON_SHARE = 1 / 200_000
-BUCKETS = 128
+BUCKETS = 4096
 SUFFIX = 3
-SEGMENT = 128
-#: Class positions that forward-backward holds at once.
-BLOCK = 1 << 19
+#: Steps of a sequence that are worked on one after the other; further ones go side by side.
+STEPS = 1024
+#: Class positions whose state vectors are held at once, and class positions that a task gathers before it goes over them.
+TOGETHER, POSITIONS = 1 << 19, 1 << 22
 #: Distinct words a task counts before it hands them on.
 TALLY = 200_000
 SMOOTH = 0.5
@@ -70,78 +75,149 @@ class Hmm:
         move = rng.uniform(0.5, 1.5, (states, states)) + 2 * np.eye(states)
         return cls(np.full(states, 1 / states), move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
-    def stationary(self) -> np.ndarray:
-        p = np.full(len(self.start), 1 / len(self.start))
-        for _ in range(200):
-            p = p @ self.move
-        return p / p.sum()
+    def log10_likelihoods(self, sequences: list[np.ndarray], steps: int = STEPS) -> np.ndarray:
+        """Exact log10 P of each class sequence, by the forward recursion with a scale at every step."""
+        out = np.zeros(len(sequences))
+        if any(len(s) for s in sequences):
+            plan = _Stretches(self, sequences, steps, np.float64)
+            for some in plan.groups():
+                log = plan.forward(some, False)[0]
+                np.add.at(out, plan.owner[some], log)
+        return out / math.log(10)
+
+    def expected(self, sequences: list[np.ndarray], totals: list[np.ndarray], steps: int = STEPS) -> float:
+        """Add the expected counts (start, move, emit) of Baum-Welch over whole sequences to totals; returns their log10 likelihood."""
+        if not any(len(s) for s in sequences):
+            return 0.0
+        plan, log = _Stretches(self, sequences, steps, np.float32), 0.0
+        for some in plan.groups():
+            log += plan.counts(some, totals)
+        return log / math.log(10)
+
+    @classmethod
+    def from_counts(cls, start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> Hmm:
+        start, move, emit = start + SMOOTH, move + SMOOTH, emit + SMOOTH / len(start)
+        return cls(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
+
+
+class _Stretches:
+    """Sequences laid out in stretches of ``steps``, all side by side, for recursions that carry over from one to the next.
+
+    No sequence is cut. The product of a stretch's step matrices takes the forward vector from its begin to its end and the
+    backward vector the other way, so that the vectors at all borders follow from a walk over stretches; within its borders each stretch then
+    has its exact values. Arrays are states x stretches.
+    """
 
-    def log10_likelihoods(self, sequences: list[np.ndarray]) -> np.ndarray:
-        """Exact log10 P of each class sequence, by the forward recursion with a scale at every step; all sequences in step."""
+    def __init__(self, hmm: Hmm, sequences: list[np.ndarray], steps: int, kind: type):
         sizes = np.array([len(s) for s in sequences], np.int64)
-        out = np.zeros(len(sequences))
-        if not len(sizes) or not sizes.max():
-            return out
-        by = np.argsort(-sizes, kind="stable")
-        flat = np.concatenate(sequences)
-        first = (np.cumsum(sizes) - sizes)[by]
-        alive = np.searchsorted(-sizes[by], -np.arange(sizes.max()), side="left")  # sequences longer than t
-        log = np.zeros(len(by))
-        alpha = np.tile(self.start, (len(by), 1))
-        for t, d in enumerate(alive.tolist()):
-            alpha = alpha[:d] @ self.move if t else alpha[:d]
-            alpha *= self.emit[flat[first[:d] + t]]
-            scale = alpha.sum(axis=1)
-            alpha /= scale[:, None]
-            log[:d] += np.log(scale)
-        out[by] = log / math.log(10)
-        return out
-
-    def expected(self, sequences: list[np.ndarray], totals: list[np.ndarray]) -> None:
-        """Add the expected counts (start, move, emit) of Baum-Welch over sequences to totals."""
-        parts = [(s[a : a + SEGMENT], a == 0) for s in sequences for a in range(0, len(s), SEGMENT)]
-        parts.sort(key=lambda p: -len(p[0]))
-        rows = max(1, BLOCK // SEGMENT)
-        for at in range(0, len(parts), rows):
-            self._block(parts[at : at + rows], totals)
-
-    def _block(self, parts: list[tuple[np.ndarray, bool]], totals: list[np.ndarray]) -> None:
-        sizes = np.array([len(p) for p, _ in parts])
-        n, long, k = len(parts), int(sizes[0]), len(self.start)
-        heads = np.array([h for _, h in parts])
-        seen = np.zeros((long, n), np.int32)
-        for i, (p, _) in enumerate(parts):
-            seen[: len(p), i] = p
-        alive = np.searchsorted(-sizes, -np.arange(long), side="left")
-        move, emit = self.move.astype(np.float32), self.emit.astype(np.float32)
-        alpha, scale = np.zeros((long, n, k), np.float32), np.ones((long, n), np.float32)
-        now = np.where(heads[:, None], self.start, self.stationary()).astype(np.float32)
+        self.flat, first = np.concatenate(sequences), np.cumsum(sizes) - sizes
+        pieces = -(-sizes // steps)
+        self.owner = np.repeat(np.arange(len(sizes)), pieces)
+        self.of = pieces[self.owner]
+        self.nth = np.arange(len(self.owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        self.begin, self.length = first[self.owner] + self.nth * steps, np.minimum(sizes[self.owner] - self.nth * steps, steps)
+        self.states, self.kind = len(hmm.start), kind
+        self.start, self.move, self.emit = hmm.start.astype(kind)[:, None], hmm.move.astype(kind), hmm.emit.astype(kind)
+        self.before, self.after = np.zeros((self.states, len(self.owner)), kind), np.ones((self.states, len(self.owner)), kind)
+        if pieces.max() > 1:
+            self._carry()
+
+    def groups(self) -> Iterator[np.ndarray]:
+        """Stretches that are worked on together, the longest first."""
+        by, at = np.argsort(-self.length, kind="stable"), 0
+        while at < len(by):
+            some = by[at : at + max(1, TOGETHER // int(self.length[by[at]]))]
+            at += len(some)
+            yield some
+
+    def _taken(self, emit: np.ndarray, places: np.ndarray) -> np.ndarray:
+        return np.ascontiguousarray(np.take(emit, self.flat[places], axis=0, mode="clip").T)
+
+    def _carry(self) -> None:
+        """Fill in the forward vectors before and the backward vectors after each stretch of the sequences that have several."""
+        k = self.states
+        # what an emission says of the states, without its size, so that products shrink slowly
+        onward, relative = np.ascontiguousarray(self.move.T), self.emit / self.emit.max(axis=1, keepdims=True)
+        emitted = lambda of, t: self._taken(relative, self.begin[of] + t)
+        # first stretches need their forward vector only, the others their product
+        heads = np.nonzero((self.nth == 0) & (self.of > 1))[0]
+        rest = np.nonzero(self.nth > 0)[0]
+        rest = rest[np.argsort(-self.length[rest], kind="stable")]
+        vectors = self.start * emitted(heads, 0)
+        product = np.broadcast_to(np.eye(k, dtype=self.kind)[:, :, None], (k, k, len(rest))).copy()  # to, from, stretch
+        long = int(self.length.max())
+        alive = np.searchsorted(-self.length[rest], -np.arange(long), side="left")
         for t in range(long):
+            if t:
+                vectors = (onward @ vectors) * emitted(heads, t)
+                vectors /= vectors.sum(axis=0)
             d = alive[t]
-            now = (now[:d] @ move if t else now[:d]) * emit[seen[t, :d]]
-            scale[t, :d] = now.sum(axis=1)
-            now /= scale[t, :d, None]
-            alpha[t, :d] = now
-        gamma = np.zeros((long, n, k), np.float32)
-        beta = np.ones((n, k), np.float32)
+            if d:
+                now = (onward @ product[:, :, :d].reshape(k, -1)).reshape(k, k, d) * emitted(rest[:d], t)[:, None, :]
+                product[:, :, :d] = now / now.max(axis=(0, 1)) if t % 8 == 7 else now
+        product /= product.max(axis=(0, 1))
+        place = np.full(len(self.begin), -1)
+        place[rest] = np.arange(len(rest))
+        at, now = heads + 1, vectors / vectors.sum(axis=0)
+        while len(at):
+            self.before[:, at] = now
+            more = self.of[at] > self.nth[at] + 1
+            at, now = at[more], now[:, more]
+            now = (product[:, :, place[at]] * now).sum(axis=1)
+            now /= now.sum(axis=0)
+            at = at + 1
+        at = np.nonzero((self.nth == self.of - 1) & (self.of > 1))[0]
+        now = np.ones((k, len(at)), self.kind)
+        while len(at):
+            now = (product[:, :, place[at]] * now[:, None, :]).sum(axis=0)
+            now /= now.sum(axis=0)
+            at = at - 1
+            self.after[:, at] = now
+            more = self.nth[at] > 0
+            at, now = at[more], now[:, more]
+
+    def forward(self, some: np.ndarray, keep: bool) -> tuple:
+        """Log likelihood of each stretch; if kept, (step, state, stretch) forward vectors and emissions, scales, classes and the number of stretches at a step."""
+        begin, length, k = self.begin[some], self.length[some], self.states
+        n, long = len(some), int(length[0])
+        alive = np.searchsorted(-length, -np.arange(long), side="left")
+        onward = np.ascontiguousarray(self.move.T)
+        alpha, told = (np.zeros((long, k, n), self.kind) for _ in "ab") if keep else (None, None)
+        seen = np.zeros((long, n), np.int32) if keep else None
+        scale = np.ones((long, n), self.kind)
+        now = np.where(self.nth[some] == 0, self.start, onward @ self.before[:, some])
+        for t in range(long):
+            d = alive[t]
+            said = self._taken(self.emit, begin[:d] + t)
+            now = (onward @ now[:, :d] if t else now) * said
+            scale[t, :d] = now.sum(axis=0)
+            now /= scale[t, :d]
+            if keep:
+                alpha[t, :, :d], told[t, :, :d], seen[t, :d] = now, said, self.flat[begin[:d] + t]
+        return np.log(scale, dtype=np.float64).sum(axis=0), alpha, told, scale, seen, alive
+
+    def counts(self, some: np.ndarray, totals: list[np.ndarray]) -> float:
+        """Add the expected counts of stretches to totals; returns their log likelihood."""
+        log, alpha, told, scale, seen, alive = self.forward(some, True)
+        (long, k, n), head = alpha.shape, self.nth[some] == 0
+        last = alpha[self.length[some] - 1, :, np.arange(n)].T
+        beta = self.after[:, some] / (last * self.after[:, some]).sum(axis=0)
         moves = np.zeros((k, k))
         for t in range(long - 1, -1, -1):
             d = alive[t]
-            gamma[t, :d] = alpha[t, :d] * beta[:d]
+            ahead = beta[:, :d] * told[t, :, :d] / scale[t, :d]
             if t:
-                ahead = beta[:d] * emit[seen[t, :d]] / scale[t, :d, None]
-                moves += alpha[t - 1, :d].T @ ahead
-                beta[:d] = ahead @ move.T
-        totals[0] += gamma[0][heads].sum(axis=0, dtype=np.float64)
+                moves += alpha[t - 1, :, :d] @ ahead.T
+            else:
+                moves += self.before[:, some[~head]] @ ahead[:, ~head].T
+            alpha[t, :, :d] *= beta[:, :d]
+            beta[:, :d] = self.move @ ahead
+        totals[0] += alpha[0][:, head].sum(axis=1, dtype=np.float64)
         totals[1] += moves * self.move
-        flat = seen.ravel()
+        places = seen.ravel()
         for j in range(k):
-            totals[2][:, j] += np.bincount(flat, gamma[:, :, j].ravel(), len(self.emit))
-
-    @classmethod
-    def from_counts(cls, start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> Hmm:
-        start, move, emit = start + SMOOTH, move + SMOOTH, emit + SMOOTH / len(start)
-        return cls(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
+            totals[2][:, j] += np.bincount(places, alpha[:, j].ravel(), len(self.emit))
+        return float(log.sum())
 
 
 # --- vocabulary -----------------------------------------------------------------------------------------------------
@@ -282,26 +358,40 @@ def train_hmm(sequences: DataFrame, vocabulary: Vocabulary, states: int = STATES
     counts[own:-1] = 10**vocabulary.shared
     counts[-1] = vocabulary.ends
     hmm = Hmm.initial(counts, states, seed)
-    train = sequences.where("train").select("classes")
-    sizes = [states, states * states, vocabulary.n_classes * states]
-    for _ in range(rounds if vocabulary.ends else 0):
+    train = sequences.where("train")
+    some = train.where(F.pmod(F.xxhash64("doc_id", "classes"), F.lit(WARM_SHARE)) == 0)
+    sizes = [states, states * states, vocabulary.n_classes * states, 1]
+    last = -math.inf
+    for nth in range(WARM_ROUNDS + rounds if vocabulary.ends else 0):
         current = sequences.sparkSession.sparkContext.broadcast(hmm)
 
         def expect(batches: Iterator[pa.RecordBatch], model=current) -> Iterator[pa.RecordBatch]:
-            totals = [np.zeros(states), np.zeros((states, states)), np.zeros((sizes[2] // states, states))]
+            totals, log = [np.zeros(states), np.zeros((states, states)), np.zeros((sizes[2] // states, states))], 0.0
+            held, positions = [], 0
             for batch in batches:
-                for at in range(0, batch.num_rows, 4096):
-                    model.value.expected(_arrays(batch.column(0).slice(at, 4096)), totals)
-            flat = np.concatenate([t.ravel() for t in totals])
+                for classes in batch.column(0):
+                    held.append(np.frombuffer(classes.as_py(), "<u2").astype(np.int32))
+                    positions += len(held[-1])
+                    if positions >= POSITIONS:
+                        log += model.value.expected(held, totals)
+                        held, positions = [], 0
+            log += model.value.expected(held, totals)
+            flat = np.concatenate([*(t.ravel() for t in totals), [log]])
             some = np.nonzero(flat)[0]
             yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(flat[some])], ["slot", "value"])
 
         flat = np.zeros(sum(sizes))
-        for r in train.mapInArrow(expect, "slot int, value double").groupBy("slot").agg(F.sum("value").alias("value")).collect():
+        rows = (train if nth >= WARM_ROUNDS else some).select("classes")
+        # states x (classes + states + 1) numbers
+        for r in rows.mapInArrow(expect, "slot int, value double").groupBy("slot").agg(F.sum("value").alias("value")).toLocalIterator():
             flat[r.slot] = r.value
-        start, move, emit = np.split(flat, np.cumsum(sizes)[:2])
+        start, move, emit, (log,) = np.split(flat, np.cumsum(sizes)[:3])
         hmm = Hmm.from_counts(start, move.reshape(states, states), emit.reshape(-1, states))
         current.unpersist()
+        if nth >= WARM_ROUNDS:
+            if log - last < LEAST_GAIN * vocabulary.tokens:
+                break
+            last = log
     return hmm
 
 

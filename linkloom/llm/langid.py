@@ -11,7 +11,7 @@ The sample is bounded: of each language the rows with the smallest seeded hash,
 ``CALIBRATION_DOCS`` more to calibrate on; of a language with fewer rows than 4/3 x ``FIT_DOCS`` a quarter calibrates. The quantile at
 ``REJECT_SHARE`` exists from 999 calibration rows on; with fewer the limit is the largest value and as much again.
 
-Defined results: ``und`` with score 0 for null text and text without a letter; ties go to the first language in
+Defined results: ``und`` with score 0 for null text and text without a letter (marks alone are none); ties go to the first language in
 code-point order; with no labelled row at all every text is ``und``; an empty table gives an empty result.
 """
 
@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import documents
+from .common import documents, stored
 
 ORDER = 4
 #: Rows of a language that a model is fitted on, at most.
@@ -55,23 +55,25 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 @lru_cache(1)
-def _fold_table() -> np.ndarray:
-    """Code point to lower-cased letter or space."""
-    table = np.full(sys.maxunicode + 1, SPACE, np.uint32)
+def _fold_table() -> tuple[np.ndarray, np.ndarray]:
+    """Code point to lower-cased letter, mark or space; and whether it is a letter."""
+    table, letter = np.full(sys.maxunicode + 1, SPACE, np.uint32), np.zeros(sys.maxunicode + 1, bool)
     for cp in range(sys.maxunicode + 1):
         ch = chr(cp)
-        if unicodedata.category(ch)[0] in "LM":
+        kind = unicodedata.category(ch)[0]
+        if kind in "LM":
             low = ch.lower()
-            table[cp] = ord(low) if len(low) == 1 else cp
-    return table
+            table[cp], letter[cp] = ord(low) if len(low) == 1 else cp, kind == "L"
+    return table, letter
 
 
 def letters_only(text: str) -> np.ndarray:
-    """Lower-case letters of a text with one space at either end and between runs of letters; empty without a letter."""
-    folded = _fold_table()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
-    if not (folded != SPACE).any():
+    """Lower-case letters and their marks with one space at either end and between runs of them; empty for a text without a letter."""
+    table, letter = _fold_table()
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    if not letter[points].any():
         return np.empty(0, np.uint32)
-    folded = np.concatenate([[SPACE], folded, [SPACE]]).astype(np.uint32)
+    folded = np.concatenate([[SPACE], table[points], [SPACE]]).astype(np.uint32)
     return folded[np.concatenate([[True], (folded[1:] != SPACE) | (folded[:-1] != SPACE)])]
 
 
@@ -96,6 +98,42 @@ def find(keys: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, keys[at] == hashes
 
 
+@dataclass
+class Level:
+    """N-grams of one length of one language, by hash: interpolated with nothing yet."""
+
+    grams: np.ndarray
+    own: np.ndarray  # discounted share in the context
+    suffixes: np.ndarray  # hash of the gram without its first character
+    contexts: np.ndarray  # hash of the gram without its last character
+    seen: np.ndarray  # the distinct contexts, sorted
+    rest: np.ndarray  # what each of them leaves to the shorter grams
+
+
+def language_levels(texts: list[str], order: int = ORDER) -> list[Level]:
+    """Counts of one language for Kneser-Ney: of grams of ``order`` characters, and of the characters before shorter ones."""
+    runs = [r for r in map(letters_only, texts) if len(r)]
+    pad = np.full(order - 1, SPACE, np.uint32)
+    chars = np.concatenate([np.empty(0, np.uint32), *(x for r in runs for x in (pad, r[1:]))])
+    sizes = np.array([len(r) + order - 2 for r in runs], np.int64)
+    # grams within a text; those that straddle two texts are left out
+    place = np.arange(len(chars)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    at = np.nonzero(place + order <= np.repeat(sizes, sizes))[0]
+    levels: list[Level] = []
+    for k in range(order, 0, -1):
+        hashes, shorter = gram_hashes(chars, k), gram_hashes(chars, k - 1) if k > 1 else np.zeros(len(chars) + 1, np.uint64)
+        grams, first, counts = np.unique(hashes[at], return_index=True, return_counts=True)
+        at = at[first]
+        once, twice = int((counts == 1).sum()), int((counts == 2).sum())
+        discount = once / (once + 2 * twice) if once and twice else 0.5
+        contexts = shorter[at]
+        seen, which, kinds = np.unique(contexts, return_inverse=True, return_counts=True)
+        total = np.bincount(which, counts, len(seen))
+        levels.insert(0, Level(grams, (counts - discount) / total[which], shorter[at + 1], contexts, seen, discount * kinds / total))
+        at = at + 1  # each distinct gram is one character before its suffix
+    return levels
+
+
 @dataclass
 class KneserNey:
     """The models of all languages. Index k of the lists belongs to n-grams of k+1 characters."""
@@ -110,66 +148,33 @@ class KneserNey:
     limit: np.ndarray | None = None
 
     @classmethod
-    def fit(cls, counts: dict[str, dict[tuple, int]], order: int = ORDER) -> KneserNey:
-        """counts: for each language the counts of its n-grams of ``order`` characters (tuples of code points)."""
-        langs = sorted(counts)
-        model = cls(langs)
-        # per language and order: counts (highest order) or continuation counts (below)
-        tables: list[list[dict[tuple, int]]] = []
-        for lang in langs:
-            levels = [dict(counts[lang])]
-            for _ in range(order - 1):
-                lower: dict[tuple, int] = {}
-                for gram in levels[0]:
-                    lower[gram[1:]] = lower.get(gram[1:], 0) + 1
-                levels.insert(0, lower)
-            tables.append(levels)
-        alphabet = {g for levels in tables for g in levels[0]}
-        below: dict[tuple, np.ndarray] = {}
-        for k in range(order):
-            grams = sorted({g for levels in tables for g in levels[k]})
-            place = {g: i for i, g in enumerate(grams)}
-            prob = np.zeros((len(grams), len(langs)))
-            contexts = sorted({g[:-1] for g in grams})
-            where = {c: i for i, c in enumerate(contexts)}
-            rest = np.ones((len(contexts), len(langs)))
-            for j, levels in enumerate(tables):
-                level = levels[k]
-                once, twice = sum(v == 1 for v in level.values()), sum(v == 2 for v in level.values())
-                discount = once / (once + 2 * twice) if once and twice else 0.5
-                total, kinds = np.zeros(len(contexts)), np.zeros(len(contexts))
-                for g, v in level.items():
-                    total[where[g[:-1]]] += v
-                    kinds[where[g[:-1]]] += 1
-                held = total > 0
-                rest[held, j] = discount * kinds[held] / total[held]
-                for g, v in level.items():
-                    prob[place[g], j] = (v - discount) / total[where[g[:-1]]]
-            tail = np.full(len(langs), 1 / (len(alphabet) + 1)) if k == 0 else None
-            for i, g in enumerate(grams):
-                prob[i] += rest[where[g[:-1]]] * (tail if k == 0 else below[g[1:]])
-            below = {g: prob[i] for i, g in enumerate(grams)}
+    def merge(cls, levels: dict[str, list[Level]]) -> KneserNey:
+        """Interpolate each language over the n-grams of all, in sorted arrays."""
+        langs = sorted(levels)
+        model, below = cls(langs), None
+        if not langs:
+            return model
+        for k in range(len(levels[langs[0]])):
+            own = [levels[lang][k] for lang in langs]
+            keys, first = np.unique(np.concatenate([x.grams for x in own]), return_index=True)
+            contexts = np.concatenate([x.contexts for x in own])[first]
+            seen = np.unique(np.concatenate([x.seen for x in own]))
+            prob, rest = np.zeros((len(keys), len(langs))), np.ones((len(seen), len(langs)))
+            for j, x in enumerate(own):
+                rest[np.searchsorted(seen, x.seen), j] = x.rest
+                prob[np.searchsorted(keys, x.grams), j] = x.own
+            # characters that no language has share one place in the alphabet
+            shorter = 1 / (len(keys) + 1) if k == 0 else below[np.searchsorted(model.keys[-1], np.concatenate([x.suffixes for x in own])[first])]
+            prob += rest[np.searchsorted(seen, contexts)] * shorter
             if k == 0:
-                model.unseen = np.log2(rest[0] * tail).astype(np.float32) if len(contexts) else np.zeros(len(langs), np.float32)
-            model._add(grams, prob, contexts, rest, k)
+                model.unseen = np.log2(rest[0] / (len(keys) + 1)).astype(np.float32) if len(seen) else np.zeros(len(langs), np.float32)
+            model.keys.append(keys)
+            model.logp.append(np.log2(prob).astype(np.float32))
+            model.context_keys.append(seen if k else np.empty(0, np.uint64))
+            model.backoff.append((np.log2(rest) if k else np.zeros((0, len(langs)))).astype(np.float32))
+            below = prob
         return model
 
-    def _add(self, grams, prob, contexts, rest, k) -> None:
-        chars = np.array(grams, np.uint32).reshape(-1, k + 1)
-        keys = np.concatenate([gram_hashes(c, k + 1) for c in chars]) if len(chars) else np.empty(0, np.uint64)
-        by = np.argsort(keys)
-        self.keys.append(keys[by])
-        self.logp.append(np.log2(prob)[by].astype(np.float32))
-        if k == 0:
-            self.context_keys.append(np.empty(0, np.uint64))
-            self.backoff.append(np.zeros((0, len(self.languages)), np.float32))
-            return
-        ctx = np.array(contexts, np.uint32).reshape(-1, k)
-        keys = np.concatenate([gram_hashes(c, k) for c in ctx]) if len(ctx) else np.empty(0, np.uint64)
-        by = np.argsort(keys)
-        self.context_keys.append(keys[by])
-        self.backoff.append(np.log2(rest)[by].astype(np.float32))
-
     def log2_probs(self, chars: np.ndarray) -> np.ndarray:
         """log2 P(character | the characters before it) for every language, from position order-1 on."""
         order = len(self.keys)
@@ -263,56 +268,49 @@ class KneserNey:
 def _sample(train: DataFrame, fit_docs: int, calibration_docs: int) -> DataFrame:
     """At most fit_docs + calibration_docs rows (lang, text, calibrates) of every language, by seeded hash of id and text.
 
-    A language's rows are counted first: those whose hash is too large to be among the wanted (but for six standard
-    deviations) never reach the window.
+    Rows that repeat both are one row. Those of a language whose hash is too large to be among the wanted (but for six standard
+    deviations, and the error of the estimate of their number) never reach the window.
     """
     wanted = fit_docs + calibration_docs
-    keyed = train.select("lang", "text", F.xxhash64(F.lit(SEED), "doc_id", F.length("text")).alias("rank_key")).where(
-        F.col("lang").isNotNull() & F.col("text").isNotNull()
-    )
-    # one row a language, as many as the driver builds models for
-    sizes = {r.lang: r.n for r in keyed.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not sizes:
-        return keyed.where("false").select("lang", "text", F.lit(True).alias("calibrates"))
-
-    def by_lang(values: dict) -> Column:
-        return F.try_element_at(F.create_map(*[F.lit(x) for kv in values.items() for x in kv]), F.col("lang"))
-
-    share = {k: min(1.0, (wanted + 6 * math.sqrt(wanted) + 20) / n) for k, n in sizes.items()}
-    early = keyed.where(F.col("rank_key") <= by_lang({k: min(2**63 - 1, int(2**64 * x) - 2**63) for k, x in share.items()}))
-    fits = {k: min(fit_docs, n * 3 // 4) for k, n in sizes.items()}
-    order = Window.partitionBy("lang").orderBy("rank_key")
-    cut = early.select("lang", "rank_key").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= wanted)
-    marks = cut.groupBy("lang").agg(F.max("rank_key").alias("last"), F.max(F.when(F.col("nth") <= by_lang(fits), F.col("rank_key"))).alias("last_fit")).collect()
-    near = early.where(F.col("rank_key") <= by_lang({r.lang: r["last"] for r in marks}))
-    # a language of one row has none to fit on
-    last_fit = by_lang({r.lang: -(2**63) if r.last_fit is None else r.last_fit for r in marks})
-    return near.select("lang", "text", (F.col("rank_key") > last_fit).alias("calibrates"))
+    keyed = train.select("lang", "text", F.xxhash64(F.lit(SEED), "doc_id", "text").alias("rank_key")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    # one row a language, as many as there are models
+    sizes = keyed.groupBy("lang").agg(F.approx_count_distinct("rank_key", 0.02).alias("n"))
+    share = F.least(F.lit(1.0), F.lit(1.1 * (wanted + 6 * math.sqrt(wanted) + 20)) / F.col("n"))
+    last = F.when(share >= 1.0, F.lit(2**63 - 1)).otherwise((share * float(2**64) - float(2**63)).cast("long"))
+    cuts = stored(sizes.select(F.col("lang").alias("of"), last.alias("last")), "lang-cuts")
+    early = keyed.join(F.broadcast(cuts), F.col("lang") == F.col("of")).where(F.col("rank_key") <= F.col("last"))
+    early = stored(early.groupBy("lang", "rank_key").agg(F.first("text").alias("text")), "lang-sample")
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("rank_key"))
+    fits = F.least(F.lit(fit_docs), F.floor(F.count(F.lit(1)).over(Window.partitionBy("lang")) * 0.75))
+    ranked = early.select("lang", "text", nth.alias("nth"), fits.alias("fits")).where(F.col("nth") <= wanted)
+    return ranked.select("lang", "text", (F.col("nth") > F.col("fits")).alias("calibrates"))
+
+
+_PARTS = ["grams", "own", "suffixes", "contexts", "seen", "rest"]
 
 
 def train_language_models(train: DataFrame, fit_docs: int = FIT_DOCS, calibration_docs: int = CALIBRATION_DOCS, order: int = ORDER) -> KneserNey:
-    """Fit on train (doc_id, text, lang); n-grams are counted on the executors, in as many tasks as the sample has."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            for lang, own in frame.groupby("lang"):
-                runs = [letters_only(t) for t in own.text]
-                grams = [np.lib.stride_tricks.sliding_window_view(np.concatenate([np.full(order - 1, SPACE, np.uint32), r[1:]]), order) for r in runs if len(r)]
-                if grams:
-                    kinds, n = np.unique(np.concatenate(grams), axis=0, return_counts=True)
-                    yield pd.DataFrame({"lang": lang, "gram": [bytes(k.astype("<u4")) for k in kinds], "n": n})
-
-    sample = _sample(train, fit_docs, calibration_docs)
-    counted = sample.where(~F.col("calibrates")).select("lang", "text").mapInPandas(count, "lang string, gram binary, n long")
-    counts: dict[str, dict[tuple, int]] = {}
-    for row in counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toLocalIterator():
-        counts.setdefault(row.lang, {})[tuple(int(c) for c in np.frombuffer(row.gram, "<u4"))] = row.n
-    model = KneserNey.fit(counts, order)
+    """Fit on train (doc_id, text, lang): each language on the executors, from its bounded sample; the driver merges their sorted arrays."""
+
+    def fit(frame: pd.DataFrame) -> pd.DataFrame:
+        levels = language_levels(list(frame.text), order)
+        rows = [{"lang": frame.lang.iloc[0], "k": k, **{p: getattr(x, p).tobytes() for p in _PARTS}} for k, x in enumerate(levels)]
+        return pd.DataFrame(rows, columns=["lang", "k", *_PARTS])
+
+    sample = stored(_sample(train, fit_docs, calibration_docs), "lang-ranked")
+    fitted = sample.where(~F.col("calibrates")).groupBy("lang").applyInPandas(fit, "lang string, k int, " + ", ".join(f"{p} binary" for p in _PARTS))
+    levels: dict[str, list] = {}
+    for r in fitted.orderBy("lang", "k").toLocalIterator():
+        parts = [np.frombuffer(r[p], np.float64 if p in ("own", "rest") else np.uint64) for p in _PARTS]
+        levels.setdefault(r.lang, []).append(Level(*parts))
+    # a language whose texts have no letter has no model
+    model = KneserNey.merge({lang: x for lang, x in levels.items() if len(x[0].grams)})
     if model.languages:
+        shared = train.sparkSession.sparkContext.broadcast(model)
 
         def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in batches:
-                h, n = model.entropies(list(frame.text))
+                h, n = shared.value.entropies(list(frame.text))
                 yield pd.DataFrame({"lang": frame.lang, "h": list(h), "n": n})
 
         held = sample.where("calibrates").select("lang", "text").mapInPandas(measure, "lang string, h array<double>, n long")

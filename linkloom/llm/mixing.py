@@ -6,24 +6,24 @@ the draw representative, bounded-knapsack dynamic programming over the left-over
 to the word where the sizes allow it. Which documents of a size are drawn is decided by a
 seeded hash of the id.
 
-Scale: per source and size only counts travel. The cut inside a size is found from counts by hash bucket,
+Scale: per source and size only counts travel, and per source one row; the sources, however many, stay a table: they are numbered by a range sort, and
+the level to which targets are filled is found by one small aggregate a round. The cut inside a size is found from counts by hash bucket,
 and only the one bucket in which the cut lies is ranked, so a source or size with a third of all rows is never
 gathered in one task.
 
 Defined results: null text has size 0; a null source is a source of its own, the last; sizes of 0 are taken 0
-words; rows that share a doc_id are drawn together; an empty table gives an empty result. The number of
-sources is bounded by the recipe (weights are given by source), so per-source totals are read by the driver.
+words; rows that share a doc_id are drawn together; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .common import WORD, attach_facts, documents, stored
@@ -33,59 +33,48 @@ SHARE = 1.5
 MOST_COPIES = 2
 SEED = 6
 BUCKETS = 4096
-#: Words of budget that dynamic programming fits exactly; the rest is filled largest size first.
-EXACT_WORDS = 1 << 18
+#: Words of budget that the dynamic program is first tried on.
+FIRST_WORDS = 1 << 18
 
 
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def fill_targets(sizes: Sequence[int], weights: Sequence[float], share: float = SHARE, most: float = MOST_COPIES) -> list[float]:
-    """Targets by weight of share * all sizes, none above most * its size, the excess reshared by weight."""
-    budget, targets = share * sum(sizes), [0.0] * len(sizes)
-    open_ = [i for i, s in enumerate(sizes) if s > 0]
-    while open_:
-        unit = budget / sum(weights[i] for i in open_)
-        full = [i for i in open_ if unit * weights[i] >= most * sizes[i]]
-        if not full:
-            for i in open_:
-                targets[i] = unit * weights[i]
+def with_targets(totals: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST_COPIES) -> DataFrame:
+    """totals (source, words) with weight and target: by weight of share * all words, none above most * its words, the excess reshared.
+
+    Weights repeat over the sources in code-point order, null last. Filled to a level, a source gets level * weight or most * words if that
+    is less; raising the level by what full sources leave fills more of them, until no further one is full.
+    """
+    # the order of UTF-8 bytes is the order of code points
+    placed = totals.orderBy(F.col("source").asc_nulls_last()).select("source", "words", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("id"))
+    placed = stored(placed, "mix-sources")
+    parts = sorted(placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect())  # a row a partition
+    if not parts:
+        return placed.select("source", "words", F.lit(0.0).alias("weight"), F.lit(0.0).alias("target"))
+    before = F.create_map(*[F.lit(x) for (part, _), n in zip(parts, accumulate([0, *(n for _, n in parts)])) for x in (part, n)])
+    nth = before[F.col("part")] + F.col("id").bitwiseAND(F.lit(2**33 - 1))
+    weighed = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(nth, F.lit(len(weights))) + 1).cast("int"))
+    table = stored(placed.select("source", "words", weighed.alias("weight")), "mix-weights")
+    every, weight = table.where("words > 0").agg(F.sum("words"), F.sum("weight")).first()
+    level, full = (share * every / weight if every else 0.0), -1
+    cap = F.col("words") * float(most)
+    while every:
+        done = F.lit(level) * F.col("weight") >= cap
+        n, held, rest = table.where("words > 0").agg(F.count_if(done), F.sum(F.when(done, cap)), F.sum(F.when(~done, F.col("weight")))).first()
+        if n == full or not rest:
             break
-        for i in full:
-            targets[i] = float(most * sizes[i])
-            budget -= targets[i]
-        open_ = [i for i in open_ if i not in full]
-    return targets
+        level, full = (share * every - (held or 0.0)) / rest, n
+    target = F.when(F.col("words") > 0, F.least(cap, F.lit(level) * F.col("weight"))).otherwise(0.0)
+    return table.select("source", "words", "weight", target.cast("double").alias("target"))
 
 
-def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each size to take so that the words taken come as near to budget as they can.
-
-    sizes are distinct and positive. A proportional share of each size is taken, then, while more than
-    EXACT_WORDS remain, the largest sizes; the remainder is a bounded knapsack over the documents left, solved
-    exactly: every reachable sum up to the remainder plus the largest size is known, and the nearest wins.
-    """
+def _fit_exactly(sizes: np.ndarray, free: np.ndarray, left: int) -> np.ndarray:
+    """Documents of each size whose words come nearest to left, by bounded-knapsack dynamic programming over all that are free."""
     take = np.zeros(len(sizes), np.int64)
-    total = int((sizes * counts).sum())
-    if budget <= 0 or not total:
-        return take
-    if budget >= total:
-        return counts.astype(np.int64)
-    take = np.array([int(c) * budget // total for c in counts], np.int64)
-    left = budget - int((take * sizes).sum())
-    by = np.argsort(-sizes)
-    for i in by:
-        if left <= EXACT_WORDS:
-            break
-        more = min(int(counts[i] - take[i]), (left - EXACT_WORDS + int(sizes[i]) - 1) // int(sizes[i]), left // int(sizes[i]))
-        take[i] += more
-        left -= more * int(sizes[i])
-    if left <= 0:
-        return take
-    free = counts - take
     usable = [i for i in np.argsort(sizes) if free[i] > 0]
-    if not usable:
+    if not usable or left <= 0:
         return take
     # what lies below is at most the largest size away, so no sum further above can be nearer
     top = left + int(sizes[usable[-1]])
@@ -114,27 +103,57 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray
     return take
 
 
+def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, first_words: int = FIRST_WORDS) -> np.ndarray:
+    """How many documents of each size to take so that the words taken come as near to budget as they can.
+
+    sizes are distinct and positive. A proportional share of each size is taken; what remains of the budget is a bounded knapsack over
+    the documents left. A long remainder is first shortened to ``first_words`` by documents of the largest sizes. That loses nothing if the dynamic program
+    then meets the budget, or comes as near as the common divisor of the sizes allows; if it doesn't, more is left to it, in
+    the end the whole remainder. The result is the nearest sum there is above the share, at any size.
+    """
+    take = np.zeros(len(sizes), np.int64)
+    total = int((sizes * counts).sum())
+    if budget <= 0 or not total:
+        return take
+    if budget >= total:
+        return counts.astype(np.int64)
+    take = np.array([int(c) * budget // total for c in counts], np.int64)
+    left, free = budget - int((take * sizes).sum()), counts - take
+    divisor = int(np.gcd.reduce(sizes[free > 0])) if (free > 0).any() else 1
+    nearest = min(left % divisor, divisor - left % divisor)
+    words, best = first_words, None
+    while True:
+        more, rest = np.zeros(len(sizes), np.int64), left
+        for i in np.argsort(-sizes):
+            if rest <= words:
+                break
+            size = int(sizes[i])
+            more[i] = min(int(free[i]), -(-(rest - words) // size), rest // size)
+            rest -= int(more[i]) * size
+        shortened = bool(more.any())
+        more += _fit_exactly(sizes, free - more, rest)
+        off = abs(left - int((more * sizes).sum()))
+        if best is None or off < best[0]:
+            best = off, more
+        if best[0] == nearest or not shortened:
+            return take + best[1]
+        words *= 8
+
+
 def plan_mix(sized: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: int = MOST_COPIES, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """(per-source table, plan) for sized (doc_id, source, size).
 
     The plan has a row for each source and size: copies every document of that size is taken, and the last
     hash and id (cut_hash, cut_id) up to which one copy more is taken (null: none).
     """
-    spark = sized.sparkSession
     hashed = sized.select("doc_id", "source", "size", F.xxhash64(F.lit(seed), F.col("doc_id")).alias("hash"))
     hashed = hashed.withColumn("bucket", F.shiftrightunsigned("hash", 64 - BUCKETS.bit_length() + 1).cast("int"))
     counts = stored(hashed.groupBy("source", "size", "bucket").agg(F.count(F.lit(1)).alias("n")), "mix-counts")
     per_size = stored(counts.groupBy("source", "size").agg(F.sum("n").alias("n")), "mix-sizes")
-    totals = per_size.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("words"), F.sum("n").alias("rows")).collect()
-    # the order of UTF-8 bytes is the order of code points
-    totals.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode("utf-8", "surrogatepass")))
-    sizes = [r["words"] for r in totals]
-    targets = fill_targets(sizes, [weights[i % len(weights)] for i in range(len(totals))], share, most)
-    schema = T.StructType(
-        [T.StructField("source", T.StringType()), T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType()), T.StructField("whole", T.LongType()), T.StructField("budget", T.LongType())]
-    )
-    wholes = [min(most, int(t // s)) if s else 0 for t, s in zip(targets, sizes)]
-    recipe = spark.createDataFrame([(r["source"], s, t, w, round(t - w * s)) for r, s, t, w in zip(totals, sizes, targets, wholes)], schema)
+    totals = per_size.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("words"))
+    whole = F.when(F.col("words") > 0, F.least(F.lit(most), F.floor(F.col("target") / F.col("words")))).otherwise(0).cast("long")
+    recipe = with_targets(totals, weights, share, most).select("source", F.col("words").alias("source_size"), "target", whole.alias("whole"))
+    recipe = stored(recipe.withColumn("budget", F.rint(F.col("target") - F.col("whole") * F.col("source_size")).cast("long")), "mix-recipe")
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("size")
@@ -144,7 +163,7 @@ def plan_mix(sized: DataFrame, weights: Sequence[float] = WEIGHTS, share: float
         return frame.assign(picks=picks)[["source", "size", "n", "whole", "picks"]]
 
     same = per_size["source"].eqNullSafe(recipe["source"])
-    grouped = per_size.join(F.broadcast(recipe), same).select(per_size["source"], "size", "n", "whole", "budget")
+    grouped = per_size.join(recipe, same).select(per_size["source"], "size", "n", "whole", "budget")
     fitted = stored(grouped.groupBy("source").applyInPandas(fit, "source string, size long, n long, whole long, picks long"), "mix-fit")
     # the bucket in which the number of picks of a size is reached
     c, f = counts.alias("c"), fitted.where("picks > 0").alias("f")
@@ -165,7 +184,7 @@ def plan_mix(sized: DataFrame, weights: Sequence[float] = WEIGHTS, share: float
     g = fitted.alias("g")
     plan = g.join(u, F.col("g.source").eqNullSafe(F.col("u.source")) & (F.col("g.size") == F.col("u.size")), "left")
     plan = plan.select("g.source", "g.size", "n", "whole", "cut_bucket", "cut_hash", "cut_id")
-    plan = plan.join(F.broadcast(recipe.select(F.col("source").alias("s"), "source_size", "target")), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    plan = plan.join(recipe.select(F.col("source").alias("s"), "source_size", "target"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     return recipe, stored(plan, "mix-plan")
 
 

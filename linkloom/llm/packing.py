@@ -26,6 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import documents, stored
 
@@ -213,14 +214,14 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
     """pieces (any columns, with length) with sequence_id and offset; pieces must be read from a table."""
     groups = max(1, -(-pieces.count() // group_pieces))
     key = F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.lit(groups)).alias("pack_group")
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema)
+    schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def fill(frame: pd.DataFrame) -> pd.DataFrame:
         bins, offsets = best_two_fit(frame["length"].to_numpy(), capacity)
         # a group has fewer sequences than pieces
         return frame.assign(sequence_id=frame["pack_group"].to_numpy() * 2**32 + bins, offset=offsets).drop(columns="pack_group")
 
-    return pieces.select("*", key).groupBy("pack_group").applyInPandas(fill, f"{fields}, sequence_id long, offset long")
+    return pieces.select("*", key).groupBy("pack_group").applyInPandas(fill, schema)
 
 
 def tokenizer_path() -> str:

@@ -1,19 +1,22 @@
 """Toxic passages by maximum-scoring segment search.
 
-Token scores are log-odds with an informative Dirichlet prior: the numbers of toxic and clean labelled documents
-that hold a token, each smoothed towards the token's share in both. A rare word is scored by the longest of its
-leading parts (STEMS letters) that the lexicon has. Tokens whose log-odds are not significant share one small
-negative score, so that the expected score of clean text is below zero. A linear-time scan then finds every maximal-scoring segment (Ruzzo and Tompa), each of which is a candidate
-passage. Best segment scores of text without a passage follow an extreme-value law: its location grows
-with ln(length), its scale is fitted on clean training documents, and the best passage becomes a p-value-like
-surprise, ln(length)-corrected, that a logistic fit turns into a probability.
+Every counted token has its own log-odds with a Dirichlet prior: the numbers of toxic and clean labelled documents that hold it, each smoothed by PRIOR
+documents dealt by the size of the classes, so that the prior says "no difference". Log-odds, toxic and clean ones alike, are weighted by
+their evidence, z^4 / (z^4 + EVIDENCE^4) of their z-score, so that the many tokens met a few times say little instead of much by chance. A token not
+counted is scored by the longest of its leading parts (STEMS letters) that is, or else by 0. From every score the drift is taken, a little
+above the mean score of clean text, so that the expected score of clean text is below zero. A linear-time scan then finds every maximal-scoring segment (Ruzzo and
+Tompa), each of which is a candidate passage. Best segment scores of clean text follow an extreme-value law: its location grows
+with ln(length). What a text's segments rise above it, in units of its scale, is summed, and a logistic fit turns the sum into a probability.
+
+The law and the logistic fit are made on texts that the log-odds haven't seen: the sample is dealt to FOLDS parts by hash, and each is
+scored by the counts of the others. The texts to be scored get the log-odds of the whole sample.
 
 Learning uses a bounded sample of the labelled rows: all of them up to ``most_rows`` a class, the ones with the
-smallest seeded hash. A lexicon token must hold at least MIN_SHARE of the sample's toxic tokens, so the
-lexicon has at most 1/MIN_SHARE entries.
+smallest seeded hash. A counted token holds at least MIN_SHARE of all token counts of one class and occurs in MIN_DOCS documents, so there are
+2/MIN_SHARE of them at most.
 
 Defined results: null and empty texts have no passage and get the score of one without evidence; without
-labels every score is 0.0; rows whose label is null are not learned from; an empty table gives an empty result.
+labels, or with those of one class only, every score is 0.0; rows whose label is null are not learned from; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -34,22 +37,20 @@ from .langid import held_out
 
 MOST_ROWS = 20_000
 SEED = 7
-#: Strength of the Dirichlet prior in tokens.
-PRIOR = 2_000.0
-#: Least signed root of the likelihood ratio of a lexicon token, a z-score for large counts.
-SIGNIFICANT = 4.5
-#: Least log-odds of a lexicon token.
-LEAST_ODDS = 1.0
+FOLDS = 4
+#: Strength of the Dirichlet prior of a token in documents.
+PRIOR = 3.0
+#: z-score at which log-odds count half.
+EVIDENCE = 4.0
+#: Standard deviations of the token scores of clean text by which the drift is above their mean.
+ABOVE = 0.5
 #: Lengths of the leading parts of longer words that are counted too.
 STEMS = (7, 6, 5)
-MIN_SHARE = 5e-6
-#: Documents of a class a token must occur in.
-MIN_DOCS = 3
-#: Score of a token that isn't in the lexicon, as a share of the mean lexicon score.
-DRIFT = 0.02
+MIN_SHARE = 2e-6
+#: Documents a counted token occurs in at least.
+MIN_DOCS = 2
 #: Tokens are lower-case words without the punctuation around them.
 TOKEN = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*")
-ROWS = 256
 
 
 def tokens(text: str | None) -> list[str]:
@@ -62,19 +63,16 @@ def units(words: list[str]) -> set[str]:
     return kinds | {w[:k] + "*" for w in kinds for k in STEMS if len(w) > k}
 
 
-def maximal_segments(places: list[int], scores: list[float], drift: float) -> list[tuple[int, int, float]]:
-    """All maximal-scoring segments (first, last, score) of a sequence in which every place not listed scores -drift.
+def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
+    """All maximal-scoring segments (first, last, score) of a sequence of scores.
 
-    places ascend and scores are positive or negative. Ruzzo and Tompa's algorithm: each candidate keeps the
-    cumulated score before it (left) and with it (right); a new one is joined to the nearest earlier
-    candidate with a smaller left for as long as its right is larger. Linear in the listed places, as the
+    Ruzzo and Tompa's algorithm: each candidate keeps the cumulated score before it (left) and with it (right); a new one is joined to
+    the nearest earlier candidate with a smaller left for as long as its right is larger. Linear, as the
     search over earlier candidates is kept in a list that joining shortens.
     """
     found: list[list[float]] = []  # first, last, left, right, index of the nearest earlier candidate with smaller left
-    total, at = 0.0, 0
-    for place, score in zip(places, scores):
-        total -= drift * (place - at)
-        at = place + 1
+    total = 0.0
+    for place, score in enumerate(scores):
         if score <= 0:
             total += score
             continue
@@ -94,92 +92,136 @@ def maximal_segments(places: list[int], scores: list[float], drift: float) -> li
     return [(int(a), int(b), right - left) for a, b, left, right, _ in found]
 
 
+def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
+    """maximal_segments() of an array; runs of one sign are taken together, no maximal segment begins or ends inside one."""
+    up = scores > 0
+    if not up.any():
+        return []
+    begin = np.concatenate([[0], np.flatnonzero(np.diff(up)) + 1])
+    end = np.append(begin[1:], len(scores)) - 1
+    return [(int(begin[a]), int(end[b]), s) for a, b, s in maximal_segments(np.add.reduceat(scores, begin).tolist())]
+
+
 @dataclass
-class ToxicModel:
-    lexicon: dict[str, float] = field(default_factory=dict)
+class Lexicon:
+    """Scores of the counted tokens, and the drift that is taken from every score."""
+
+    scores: dict[str, float] = field(default_factory=dict)
     drift: float = 0.0
+
+    def of_word(self, word: str) -> float:
+        got = self.scores.get(word)
+        if got is None:
+            for k in STEMS:
+                if len(word) > k and (got := self.scores.get(word[:k] + "*")) is not None:
+                    return got
+            return 0.0
+        return got
+
+    def of_text(self, text: str | None) -> np.ndarray:
+        words = tokens(text)
+        return np.fromiter(map(self.of_word, words), np.float64, len(words)) - self.drift
+
+
+@dataclass
+class ToxicModel:
+    lexicon: Lexicon = field(default_factory=Lexicon)
     #: Extreme-value law of the best segment of clean text: location(ln n) = base + slope * ln n, and scale.
     base: float = 0.0
     slope: float = 0.0
     scale: float = 1.0
-    #: Logistic fit on the surprise: (intercept, weight).
-    logit: tuple[float, float] = (-50.0, 0.0)
-
-    def __post_init__(self):
-        self.heads = {x.rstrip("*")[: STEMS[-1]] for x in self.lexicon}
-
-    def word_score(self, word: str) -> float | None:
-        for unit in (word, *(word[:k] + "*" for k in STEMS if len(word) > k)):
-            if (s := self.lexicon.get(unit)) is not None:
-                return s
-        return None
-
-    def segments(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
-        """Number of tokens, maximal segments by token place."""
-        words, heads, short = tokens(text), self.heads, STEMS[-1]
-        near = [(i, self.word_score(w)) for i, w in enumerate(words) if w[:short] in heads]
-        hits = [(i, s) for i, s in near if s is not None]
-        if not hits:
-            return len(words), []
-        return len(words), maximal_segments([i for i, _ in hits], [s for _, s in hits], self.drift)
+    #: Logistic fit on the evidence: (intercept, weight).
+    logit: tuple[float, float] = (-1000.0, 0.0)
 
     def surprise(self, n: int, best: float) -> float:
-        """Standardised height of the best segment above what clean text of this length shows."""
+        """Standardised height of a segment above what clean text of this length shows."""
         return (best - self.base - self.slope * math.log(n + 1)) / self.scale
 
-    def evidence(self, text: str | None) -> tuple[float, int, list[tuple[int, int, float]]]:
-        """Sum over the passages that clean text of the length hardly shows, by the extreme-value law; or the best one's surprise."""
-        n, segs = self.segments(text)
-        if not segs:
-            return self.surprise(n, 0.0), n, []
-        heights = [self.surprise(n, s) for *_, s in segs]
-        passages = [seg for seg, h in zip(segs, heights) if h > 0]
+    def evidence(self, n: int, heights: list[float]) -> float:
+        """Sum over the segments that clean text of the length hardly shows, by the extreme-value law; or the best one's surprise."""
         # -log of the survival of a Gumbel law is about its height where that is large
-        strong = sum(h for h in heights if h > 0)
-        return (strong if strong > 0 else max(heights)), n, passages
+        told = [self.surprise(n, s) for s in heights] or [self.surprise(n, 0.0)]
+        return sum(h for h in told if h > 0) or max(told)
 
-    def probability(self, x: float) -> float:
-        z = self.logit[0] + self.logit[1] * x
-        return 1 / (1 + math.exp(-z)) if z > -700 else 0.0
+    def judge(self, text: str | None) -> tuple[float, list[tuple[int, int, float]]]:
+        """Probability of the label, and the passages: segments by token place that clean text of the length hardly shows."""
+        scores = self.lexicon.of_text(text)
+        found = segments(scores)
+        z = self.logit[0] + self.logit[1] * self.evidence(len(scores), [s for *_, s in found])
+        return (1 / (1 + math.exp(-z)) if z > -700 else 0.0), [x for x in found if self.surprise(len(scores), x[2]) > 0]
 
 
 def _sample(docs: DataFrame, labels: DataFrame, most_rows: int) -> DataFrame:
-    """(text, toxic) of at most most_rows labelled rows a class."""
-    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    key = F.xxhash64(F.lit(SEED), F.col("doc_id"))
-    first = Window.partitionBy("toxic").orderBy(key, "doc_id")
-    chosen = known.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= most_rows).select("doc_id", "toxic")
+    """(text, toxic, fold) of at most most_rows labelled rows a class; toxic is 0 or 1.
+
+    Of a class with more rows, those whose hash is too large to be among the wanted (but for six standard deviations) never reach the window.
+    """
+    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg((F.max("toxic") == 1).cast("int").alias("toxic"))
+    known = known.withColumn("key", F.xxhash64(F.lit(SEED), F.col("doc_id")))
+    chosen = []
+    for row in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect():  # two classes
+        own = known.where(F.col("toxic") == row.toxic)
+        if row.n > most_rows:
+            share = min(1.0, (most_rows + 6 * math.sqrt(most_rows) + 20) / row.n)
+            early = own.where(F.col("key") <= min(2**63 - 1, int(2**64 * share) - 2**63))
+            own = early.withColumn("nth", F.row_number().over(Window.partitionBy("toxic").orderBy("key", "doc_id"))).where(F.col("nth") <= most_rows).drop("nth")
+        chosen.append(own)
+    if not chosen:
+        return docs.select("text", F.lit(0).alias("toxic"), F.lit(0).alias("fold")).where("false")
+    both = chosen[0] if len(chosen) == 1 else chosen[0].union(chosen[1])
+    fold = F.pmod(F.xxhash64(F.lit(SEED + 1), F.col("doc_id")), F.lit(FOLDS)).cast("int").alias("fold")
     # at most most_rows a class: bounded
-    return docs.select("doc_id", "text").join(F.broadcast(stored(chosen, "toxic-sample")), "doc_id").select("text", "toxic")
+    return docs.select("doc_id", "text").join(F.broadcast(stored(both.select("doc_id", "toxic", fold), "toxic-sample")), "doc_id").select("text", "toxic", "fold")
+
+
+def _score(clean: Column, toxic: Column, n0: Column, n1: Column) -> Column:
+    """Log-odds of a token out of its counts and the sums of all counts, weighted by evidence."""
+    up, down = toxic + PRIOR * n1 / (n0 + n1), clean + PRIOR * n0 / (n0 + n1)
+    odds = F.ln(up / n1) - F.ln(down / n0)
+    z4 = F.pow(odds * odds / (1 / up + 1 / down), 2)
+    return odds * z4 / (z4 + EVIDENCE**4)
+
 
+def _lexicons(sample: DataFrame) -> list[Lexicon]:
+    """The lexicon of the whole sample, and for each fold that of the others; none where the sample lacks a class."""
 
-def _lexicon(sample: DataFrame) -> dict[str, float]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tally: dict[str, list[int]] = {}
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for text, toxic, fold in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 for w in units(tokens(text)):
-                    tally.setdefault(w, [0, 0])[toxic] += 1
-            rows = list(tally.values())
-            yield pa.RecordBatch.from_arrays([pa.array(list(tally), pa.string()), *(pa.array([r[i] for r in rows], pa.int64()) for i in range(2))], ["token", "clean", "toxic"])
-
-    binary = sample.select("text", (F.col("toxic") == 1).cast("int").alias("toxic"))
-    counts = binary.mapInArrow(count, "token string, clean long, toxic long")
-    counted = stored(counts.groupBy("token").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "toxic-tokens")
-    n0, n1 = counted.agg(F.sum("clean"), F.sum("toxic")).first()
-    if not n0 or not n1:
-        return {}
-    both = F.col("clean") + F.col("toxic")
-    prior = F.lit(PRIOR) * both / F.lit(float(n0 + n1))
-    up, down = F.col("toxic") + prior, F.col("clean") + prior
-    odds = F.ln(up / (F.lit(n1 + PRIOR) - up)) - F.ln(down / (F.lit(n0 + PRIOR) - down))
-    # signed root of the likelihood ratio against one rate for both classes
-    ratio = lambda k, n: F.when(F.col(k) == 0, F.lit(0.0)).otherwise(F.col(k) * F.ln(F.col(k) * F.lit((n0 + n1) / n) / both))
-    z = F.sqrt(F.greatest(F.lit(0.0), 2 * (ratio("toxic", n1) + ratio("clean", n0)))) * F.signum(odds)
-    strong = counted.where((F.col("toxic") >= MIN_SHARE * n1) & (F.col("toxic") >= MIN_DOCS)).select("token", odds.alias("odds"), z.alias("z"))
-    strong = strong.where((F.col("z") >= SIGNIFICANT) & (F.col("odds") >= LEAST_ODDS))
-    # each holds MIN_SHARE of the toxic tokens at least: bounded
-    return {r.token: r.odds for r in strong.collect()}
+                    tally.setdefault(w, [0] * (2 * FOLDS))[2 * fold + toxic] += 1
+            yield pa.RecordBatch.from_arrays([pa.array(list(tally), pa.string()), *(pa.array([r[i] for r in tally.values()], pa.int64()) for i in range(2 * FOLDS))], ["token", *slots])
+
+    slots = [f"{kind}_{k}" for k in range(FOLDS) for kind in ("clean", "toxic")]
+    counts = sample.select("text", "toxic", "fold").mapInArrow(count, "token string, " + ", ".join(f"{c} long" for c in slots))
+    counted = stored(counts.groupBy("token").agg(*[F.sum(c).alias(c) for c in slots]), "toxic-tokens")
+    sums = counted.agg(*[F.sum(c).alias(c) for c in slots]).first()
+    total = {kind: sum(sums[f"{kind}_{k}"] or 0 for k in range(FOLDS)) for kind in ("clean", "toxic")}
+    if not total["clean"] or not total["toxic"]:
+        return []
+    of = {kind: sum((F.col(f"{kind}_{k}") for k in range(FOLDS)), F.lit(0)) for kind in total}
+    kept = counted.where((of["clean"] + of["toxic"] >= MIN_DOCS) & ((of["clean"] >= MIN_SHARE * total["clean"]) | (of["toxic"] >= MIN_SHARE * total["toxic"])))
+    scores, weights = [], []
+    for k in (None, *range(FOLDS)):
+        n = {kind: float(total[kind] - (sums[f"{kind}_{k}"] if k is not None else 0)) for kind in total}
+        mine = {kind: of[kind] - (F.col(f"{kind}_{k}") if k is not None else F.lit(0)) for kind in total}
+        known = mine["clean"] + mine["toxic"] >= MIN_DOCS
+        score = _score(mine["clean"], mine["toxic"], F.lit(n["clean"]), F.lit(n["toxic"])) if n["clean"] and n["toxic"] else F.lit(0.0)
+        scores.append(F.when(known, score).cast("double"))
+        weights.append(mine["clean"].cast("long"))
+    # 2/MIN_SHARE rows at most
+    table = kept.select("token", *[s.alias(f"s{i}") for i, s in enumerate(scores)], *[w.alias(f"w{i}") for i, w in enumerate(weights)]).toArrow()
+    words, found = table.column("token").to_pylist(), []
+    for i in range(len(scores)):
+        s, w = table.column(f"s{i}").to_numpy(), table.column(f"w{i}").to_numpy()
+        there = ~np.isnan(s)
+        # mean and deviation over the tokens of clean text, those not counted included as 0
+        every = float(total["clean"] - (sums[f"clean_{i - 1}"] if i else 0)) or 1.0
+        mean = float((s[there] * w[there]).sum()) / every
+        spread = math.sqrt(max(0.0, float((s[there] ** 2 * w[there]).sum()) / every - mean * mean))
+        found.append(Lexicon({words[j]: float(s[j]) for j in np.flatnonzero(there)}, max(mean + ABOVE * spread, 1e-3)))
+    return found
 
 
 def _fit_gumbel(n: np.ndarray, best: np.ndarray) -> tuple[float, float, float]:
@@ -215,48 +257,46 @@ def _fit_logit(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> ToxicModel:
     sample = _sample(docs, labels, most_rows)
-    lexicon = _lexicon(sample)
-    model = ToxicModel(lexicon)
-    if lexicon:
-        model.drift = DRIFT * float(np.mean(list(lexicon.values())))
+    lexicons = _lexicons(sample)
+    if not lexicons:
+        return ToxicModel()
+    model = ToxicModel(lexicons[0])
+    others = sample.sparkSession.sparkContext.broadcast(lexicons[1:])
 
-    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [model.segments(t) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array([n for n, _ in got], pa.int64()), pa.array([sorted((s for *_, s in segs), reverse=True) for _, segs in got], pa.list_(pa.float64()))],
-                ["toxic", "n", "segs"],
-            )
-
-    # one narrow row a sampled document: bounded
-    rows = sample.select("text", (F.col("toxic") == 1).cast("int").alias("toxic")).mapInArrow(best, "toxic int, n long, segs array<double>").collect()
-    if not rows:
-        return model
-    y, n = np.array([r.toxic for r in rows]), np.array([r.n for r in rows])
-    top = np.array([r.segs[0] if r.segs else 0.0 for r in rows])
-    model.base, model.slope, model.scale = _fit_gumbel(n[y == 0], top[y == 0])
-    x = []
-    for r, t in zip(rows, top):
-        heights = [model.surprise(r.n, s) for s in r.segs]
-        strong = sum(h for h in heights if h > 0)
-        x.append(strong if strong > 0 else max(heights, default=model.surprise(r.n, t)))
-    model.logit = _fit_logit(np.array(x), y)
+            sizes, found = [], []
+            for text, fold in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                scores = others.value[fold].of_text(text)
+                sizes.append(len(scores))
+                found.append([s for *_, s in segments(scores)])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.float64()))], ["toxic", "n", "heights"])
+
+    measured = stored(sample.select("text", "toxic", "fold").mapInArrow(measure, "toxic int, n long, heights array<double>"), "toxic-segments")
+    # a few numbers a sampled document: bounded
+    best = measured.where("toxic = 0").select("n", F.coalesce(F.array_max("heights"), F.lit(0.0)).alias("best")).toArrow()
+    model.base, model.slope, model.scale = _fit_gumbel(best.column("n").to_numpy(), best.column("best").to_numpy())
+    told = lambda h: (h - F.lit(model.base) - F.lit(model.slope) * F.ln(F.col("n") + 1)) / F.lit(model.scale)
+    surprises = F.transform(F.when(F.size("heights") > 0, F.col("heights")).otherwise(F.array(F.lit(0.0))), told)
+    strong = F.aggregate(F.filter(surprises, lambda h: h > 0), F.lit(0.0), lambda a, h: a + h)
+    seen = measured.select("toxic", F.when(strong > 0, strong).otherwise(F.array_max(surprises)).alias("x")).toArrow()
+    model.logit = _fit_logit(seen.column("x").to_numpy(), seen.column("toxic").to_numpy())
     return model
 
 
 def score_toxicity(docs: DataFrame, model: ToxicModel) -> DataFrame:
     """doc_id, score, predicted, and passages (first and last token, score) of every row."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<score:double,predicted:int,passages:array<struct<first:int,last:int,score:double>>>")
     def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("score", pa.float64())]))
         for texts in batches:
             score, passages = [], []
-            for at in range(0, len(texts), ROWS):
-                for text in texts.slice(at, ROWS).to_pylist():
-                    x, _, segs = model.evidence(text)
-                    score.append(model.probability(x))
-                    passages.append([{"first": a, "last": b, "score": s} for a, b, s in segs])
+            for text in texts:
+                p, found = shared.value.judge(text.as_py())
+                score.append(p)
+                passages.append([{"first": a, "last": b, "score": s} for a, b, s in found])
             yield pa.StructArray.from_arrays([pa.array(score, pa.float64()), pa.array([int(s >= 0.5) for s in score], pa.int32()), pa.array(passages, kind)], ["score", "predicted", "passages"])
 
     return docs.select("doc_id", judge("text").alias("j")).select("doc_id", "j.*")

@@ -56,6 +56,11 @@ def _line(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), F.regexp_replace(value.cast("string"), "[\r\n]", "%0A"), F.lit("\r\n")), F.lit(""))
 
 
+def record_id(page_id: Column, digest: Column) -> Column:
+    """The id of a page's record: reruns agree on it, and a revisit can name the response it refers to."""
+    return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("")), F.lit(":"), F.substring(digest, 1, 32), F.lit(">"))
+
+
 def records(typed: DataFrame) -> DataFrame:
     """One column, value: the record of each row up to the two line ends that close it."""
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\n"), _line("Content-Length", F.col("bytes")), F.lit("\r\n"))
@@ -64,12 +69,12 @@ def records(typed: DataFrame) -> DataFrame:
     head = F.concat(
         F.lit(MAGIC),
         _line("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
-        _line("WARC-Record-ID", F.concat(F.lit("<urn:uuid:"), F.uuid(), F.lit(">"))),
+        _line("WARC-Record-ID", record_id(F.col("page_id"), F.col("digest"))),
         _line("WARC-Date", F.lit(DATE)),
         _line("WARC-Target-URI", F.col("url")),
         _line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), "digest")),
         _line("WARC-Profile", F.when(revisit, F.lit("http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"))),
-        _line("WARC-Refers-To", F.when(revisit, F.concat(F.lit("<urn:page:"), F.col("first_id").cast("string"), F.lit(">")))),
+        _line("WARC-Refers-To", F.when(revisit, record_id(F.col("first_id"), F.col("digest")))),
         _line("X-Page-Id", F.col("page_id")),
         F.lit("Content-Type: application/http; msgtype=response\r\n"),
     )
@@ -164,13 +169,20 @@ def reachable(found: DataFrame) -> DataFrame:
     return found.join(chain, ["file", "start"], "left_semi")
 
 
-def _spanning(spark: SparkSession, path: str, split: DataFrame) -> DataFrame:
-    """(file, start, content) of records that the magic in their payload cut: their segments, joined in order."""
-    raw = _segments(spark, path).join(split.select("file").distinct(), "file", "left_semi")
-    placed = _offsets(raw.withColumn("size", F.octet_length("raw").cast("long")), "raw").select("file", F.col("start").alias("at"), "raw")
-    own = split.select(F.col("file").alias("f"), "start", "succ", "head")
-    parts = placed.join(own, (F.col("file") == F.col("f")) & (F.col("at") >= F.col("start")) & (F.col("at") < F.col("succ")))
-    together = parts.groupBy("f", "start", "head").agg(F.array_sort(F.collect_list(F.struct("at", "raw"))).alias("parts"))
+def _spanning(spark: SparkSession, path: str, chain: DataFrame) -> DataFrame:
+    """(file, start, content) of records that the magic in their payload cut: their segments, joined in order.
+
+    ``chain`` has the records (file, start, succ, head, whole) of the files that hold such a one. A segment belongs to the last record that starts before it,
+    which one walk over a file's segments carries along.
+    """
+    raw = _segments(spark, path).join(chain.select("file").distinct(), "file", "left_semi")
+    placed = _offsets(raw.withColumn("size", F.octet_length("raw").cast("long")), "raw").select(F.col("file").alias("f"), F.col("start").alias("at"), "raw")
+    own = F.struct("start", "succ", "head", "whole").alias("own")
+    marked = placed.join(chain.select("file", F.col("start").alias("s"), own), (F.col("f") == F.col("file")) & (F.col("at") == F.col("s")), "left")
+    so_far = Window.partitionBy("f").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    parts = marked.select("f", "at", "raw", F.last("own", ignorenulls=True).over(so_far).alias("own"))
+    parts = parts.where(~F.col("own.whole") & (F.col("at") < F.col("own.succ"))).select("f", F.col("own.start").alias("start"), F.struct("at", "raw").alias("part"))
+    together = parts.groupBy("f", "start").agg(F.array_sort(F.collect_list("part")).alias("parts"))
     glue = F.lit(MAGIC).cast("binary")
     raw = F.aggregate("parts", F.lit(b""), lambda a, p: F.when(F.octet_length(a) == 0, p["raw"]).otherwise(F.concat(a, glue, p["raw"])))
     told = _parsed(F.col("raw"))
@@ -181,11 +193,12 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row a record: file, start, head, content (said_bytes, bytes, digest) of the archives under path."""
     found = stored(candidates(spark, path), "warc-candidates")
     chain = reachable(found)
-    split = stored(chain.where("NOT whole").select("file", "start", "succ", "head"), "warc-split")
+    files = stored(chain.where("NOT whole").select("file").distinct(), "warc-split")
     whole = chain.where("whole").select("file", "start", "head", "content")
-    if split.isEmpty():
+    if files.isEmpty():
         return whole
-    mended = split.join(_spanning(spark, path, split), ["file", "start"]).select("file", "start", "head", "content")
+    near = stored(chain.join(files, "file", "left_semi").select("file", "start", "succ", "head", "whole"), "warc-chain")
+    mended = near.where("NOT whole").join(_spanning(spark, path, near), ["file", "start"]).select("file", "start", "head", "content")
     return whole.union(mended)
 
 
@@ -200,7 +213,7 @@ def page_records(spark: SparkSession, path: str) -> DataFrame:
         F.when(response, F.col("content.bytes")).otherwise(F.col("content.said_bytes")).alias("payload_bytes"),
         F.when(response, F.col("content.digest")).otherwise(said).alias("payload_digest"),
         kind.alias("record_type"),
-        F.regexp_extract(_field(head, "WARC-Refers-To"), "^<urn:page:(.*)>$", 1).cast("long").alias("refers_to"),
+        F.regexp_extract(_field(head, "WARC-Refers-To"), "^<urn:page:([^:>]*):", 1).cast("long").alias("refers_to"),
         F.when(response, (F.col("content.digest") == said) & (F.col("content.bytes") == F.col("content.said_bytes"))).otherwise(F.col("content.bytes") == 0).alias("intact"),
     )
 
