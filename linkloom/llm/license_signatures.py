@@ -72,7 +72,7 @@ SIGNATURES = [
     ("beerware", "beer", "beerware(?: licen[cs]e)?", 2, 0.85),
     ("beerware", "buy me a beer", "you can buy me a beer in return", 7, 0.97),
     ("upl-1.0", "universal permissive", "universal permissive licen[cs]e(?: version)?(?: 1 0)?", 4, 0.95),
-    ("afl-3.0", "academic free", "academic free licen[cs]e(?: version| v)? ?3 0", 4, 0.97),
+    ("afl-3.0", "academic free", "academic free licen[cs]e(?: version | v ?| )3 0", 4, 0.97),
     ("afl", "academic free", "academic free licen[cs]e", 2, 0.85),
     ("ecl-2.0", "educational community", "educational community licen[cs]e(?: version)?(?: 2 0)?", 4, 0.95),
     ("ftl", "freetype", "freetype (?:project )?licen[cs]e", 2, 0.9),
@@ -87,7 +87,7 @@ SIGNATURES = [
     ("apache-2.0", "apache 2", "apache 2 0 licen[cs]e", 4, 0.95),
     ("apache-2.0", "asl 2", "asl 2 0", 4, 0.8),
     ("apache-2.0", "apache licen", "licensed under the apache licen[cs]e version 2 0(?: the license)?", 6, 0.99),
-    ("apache-2.0", "apache licen", "(?:released|distributed|available|published) under (?:the )?(?:terms of the )?apache (?:software )?licen[cs]e(?: version| v)? ?2 0", 6, 0.98),
+    ("apache-2.0", "apache", "(?:released|distributed|available|published) under (?:the )?(?:terms of the )?apache (?:software )?licen[cs]e(?: version | v ?| )2 0", 6, 0.98),
     ("apache-2.0", "apache org licenses", "apache org licenses license 2 0", 8, 0.98),
     ("apache-2.0", "you may not use this file", "you may not use this file except in compliance with the license", 7, 0.95),
     ("apache-2.0", "on an as is basis", "distributed on an as is basis without warranties or conditions of any kind", 7, 0.95),
@@ -98,15 +98,15 @@ SIGNATURES = [
     ("gpl", "gnu general public", "gnu general public licen[cs]e", 2, 0.8),
     ("gpl", "gnu gpl", "gnu gpl", 2, 0.75),
     ("gpl", "gpl licen", "gpl licen[cs]ed?", 2, 0.75),
-    ("gpl-1.0", "general public licen", "(?:gnu )?general public licen[cs]e(?: version| v) ?1(?: 0)?", 4, 0.95),
-    ("gpl-2.0", "general public licen", "(?:gnu )?general public licen[cs]e(?: version| v) ?2(?: 0)?", 4, 0.97),
+    ("gpl-1.0", "general public licen", "(?:gnu )?general public licen[cs]e(?: version | v ?)1(?: 0)?", 4, 0.95),
+    ("gpl-2.0", "general public licen", "(?:gnu )?general public licen[cs]e(?: version | v ?)2(?: 0)?", 4, 0.97),
     ("gpl-2.0", "gplv2", "gplv2", 3, 0.9),
     ("gpl-2.0", "gpl v2", "gpl v2", 3, 0.9),
     ("gpl-2.0", "gpl 2 0", "gpl 2 0(?: only)?", 3, 0.9),
     ("gpl-2.0-or-later", "general public licen", "(?:gnu )?general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 2(?: of the license)? or (?:at your option )?any later version", 6, 0.99),
     ("gpl-2.0-or-later", "gplv2 or later", "gplv2 or later", 4, 0.95),
     ("gpl-2.0-or-later", "gpl 2 0 or later", "gpl 2 0 or later", 4, 0.95),
-    ("gpl-3.0", "general public licen", "(?:gnu )?general public licen[cs]e(?: version| v) ?3(?: 0)?", 4, 0.97),
+    ("gpl-3.0", "general public licen", "(?:gnu )?general public licen[cs]e(?: version | v ?)3(?: 0)?", 4, 0.97),
     ("gpl-3.0", "gplv3", "gplv3", 3, 0.9),
     ("gpl-3.0", "gpl v3", "gpl v3", 3, 0.9),
     ("gpl-3.0", "gpl 3 0", "gpl 3 0(?: only)?", 3, 0.9),
@@ -124,19 +124,19 @@ SIGNATURES = [
     ("lgpl", "lesser general public", "(?:gnu )?lesser general public licen[cs]e", 3, 0.88),
     ("lgpl", "library general public", "(?:gnu )?library general public licen[cs]e", 3, 0.88),
     ("lgpl", "gnu lgpl", "gnu lgpl", 2, 0.8),
-    ("lgpl-2.0", "library general public", "(?:gnu )?library general public licen[cs]e(?: version| v) ?2(?: 0)?", 5, 0.97),
-    ("lgpl-2.1", "lesser general public", "(?:gnu )?lesser general public licen[cs]e(?: version| v) ?2 1", 5, 0.97),
+    ("lgpl-2.0", "library general public", "(?:gnu )?library general public licen[cs]e(?: version | v ?)2(?: 0)?", 5, 0.97),
+    ("lgpl-2.1", "lesser general public", "(?:gnu )?lesser general public licen[cs]e(?: version | v ?)2 1", 5, 0.97),
     ("lgpl-2.1", "lgplv2 1", "lgplv2 1", 3, 0.9),
     ("lgpl-2.1", "lgpl 2 1", "lgpl 2 1(?: only)?", 3, 0.9),
     ("lgpl-2.1-or-later", "lesser general public", "(?:gnu )?lesser general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 2 1(?: of the license)? or (?:at your option )?any later version", 6, 0.99),
     ("lgpl-2.1-or-later", "lgpl 2 1 or later", "lgpl 2 1 or later", 4, 0.95),
-    ("lgpl-3.0", "lesser general public", "(?:gnu )?lesser general public licen[cs]e(?: version| v) ?3(?: 0)?", 5, 0.97),
+    ("lgpl-3.0", "lesser general public", "(?:gnu )?lesser general public licen[cs]e(?: version | v ?)3(?: 0)?", 5, 0.97),
     ("lgpl-3.0", "lgplv3", "lgplv3", 3, 0.9),
     ("lgpl-3.0", "lgpl 3 0", "lgpl 3 0(?: only)?", 3, 0.9),
     ("lgpl-3.0-or-later", "lesser general public", "(?:gnu )?lesser general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 3(?: of the license)? or (?:at your option )?any later version", 6, 0.99),
     ("lgpl", "lesser general public", "(?:licensed|released|distributed) under (?:the )?(?:terms of the )?(?:gnu )?lesser general public licen[cs]e", 5, 0.95),
     ("agpl", "affero general public", "(?:gnu )?affero general public licen[cs]e", 3, 0.9),
-    ("agpl-3.0", "affero general public", "(?:gnu )?affero general public licen[cs]e(?: version| v) ?3(?: 0)?", 5, 0.97),
+    ("agpl-3.0", "affero general public", "(?:gnu )?affero general public licen[cs]e(?: version | v ?)3(?: 0)?", 5, 0.97),
     ("agpl-3.0", "agplv3", "agplv3", 3, 0.9),
     ("agpl-3.0", "agpl 3 0", "agpl 3 0(?: only)?", 3, 0.9),
     ("agpl-3.0-or-later", "affero general public", "(?:gnu )?affero general public licen[cs]e(?: as published by the free software foundation)?(?: either)? version 3(?: of the license)? or (?:at your option )?any later version", 6, 0.99),
@@ -149,28 +149,28 @@ SIGNATURES = [
     ("copyleft", "copyleft", "copyleft", 1, 0.4),
     # other reciprocal licenses
     ("mpl", "mozilla public", "mozilla public licen[cs]e", 2, 0.85),
-    ("mpl-1.0", "mozilla public", "mozilla public licen[cs]e(?: version| v)? ?1 0", 4, 0.97),
-    ("mpl-1.1", "mozilla public", "mozilla public licen[cs]e(?: version| v)? ?1 1", 4, 0.97),
-    ("mpl-2.0", "mozilla public", "mozilla public licen[cs]e(?: version| v)? ?2 0", 4, 0.97),
+    ("mpl-1.0", "mozilla public", "mozilla public licen[cs]e(?: version | v ?| )1 0", 4, 0.97),
+    ("mpl-1.1", "mozilla public", "mozilla public licen[cs]e(?: version | v ?| )1 1", 4, 0.97),
+    ("mpl-2.0", "mozilla public", "mozilla public licen[cs]e(?: version | v ?| )2 0", 4, 0.97),
     ("mpl-2.0", "mpl 2 0", "mpl 2 0", 3, 0.9),
     ("mpl-2.0", "mozilla public", "this source code form is subject to the terms of the mozilla public licen[cs]e v 2 0", 7, 0.99),
     ("mpl-2.0", "mozilla org mpl", "mozilla org mpl 2 0", 8, 0.97),
     ("npl-1.1", "netscape public", "netscape public licen[cs]e(?: version)?(?: 1 1)?", 4, 0.95),
     ("epl", "eclipse public", "eclipse public licen[cs]e", 2, 0.85),
-    ("epl-1.0", "eclipse public", "eclipse public licen[cs]e(?: version| v)? ?1 0", 4, 0.97),
-    ("epl-2.0", "eclipse public", "eclipse public licen[cs]e(?: version| v)? ?2 0", 4, 0.97),
+    ("epl-1.0", "eclipse public", "eclipse public licen[cs]e(?: version | v ?| )1 0", 4, 0.97),
+    ("epl-2.0", "eclipse public", "eclipse public licen[cs]e(?: version | v ?| )2 0", 4, 0.97),
     ("epl-2.0", "epl 2 0", "epl 2 0", 3, 0.85),
-    ("edl-1.0", "eclipse distribution", "eclipse distribution licen[cs]e(?: version| v)?(?: ?1 0)?", 4, 0.95),
+    ("edl-1.0", "eclipse distribution", "eclipse distribution licen[cs]e(?:(?: version | v ?| )1 0)?", 4, 0.95),
     ("cddl", "common development and distribution", "common development and distribution licen[cs]e", 2, 0.88),
-    ("cddl-1.0", "common development and distribution", "common development and distribution licen[cs]e(?: cddl)?(?: version| v)? ?1 0", 4, 0.97),
-    ("cddl-1.1", "common development and distribution", "common development and distribution licen[cs]e(?: cddl)?(?: version| v)? ?1 1", 4, 0.97),
-    ("cpl-1.0", "common public licen", "common public licen[cs]e(?: version| v)?(?: ?1 0)?", 4, 0.95),
+    ("cddl-1.0", "common development and distribution", "common development and distribution licen[cs]e(?: cddl)?(?: version | v ?| )1 0", 4, 0.97),
+    ("cddl-1.1", "common development and distribution", "common development and distribution licen[cs]e(?: cddl)?(?: version | v ?| )1 1", 4, 0.97),
+    ("cpl-1.0", "common public licen", "common public licen[cs]e(?:(?: version | v ?| )1 0)?", 4, 0.95),
     ("cpal-1.0", "common public attribution", "common public attribution licen[cs]e(?: version)?(?: 1 0)?", 4, 0.95),
     ("ipl-1.0", "ibm public licen", "ibm public licen[cs]e(?: version)?(?: 1 0)?", 4, 0.95),
     ("eupl", "european union public", "european union public licen[cs]e", 2, 0.88),
-    ("eupl-1.1", "european union public", "european union public licen[cs]e(?: eupl)?(?: version| v)? ?1 1", 4, 0.97),
-    ("eupl-1.2", "european union public", "european union public licen[cs]e(?: eupl)?(?: version| v)? ?1 2", 4, 0.97),
-    ("cecill-2.1", "cecill", "cecill(?: free software)? licen[cs]e(?: agreement)?(?: version| v)?(?: ?2 1)?", 4, 0.93),
+    ("eupl-1.1", "european union public", "european union public licen[cs]e(?: eupl)?(?: version | v ?| )1 1", 4, 0.97),
+    ("eupl-1.2", "european union public", "european union public licen[cs]e(?: eupl)?(?: version | v ?| )1 2", 4, 0.97),
+    ("cecill-2.1", "cecill", "cecill(?: free software)? licen[cs]e(?: agreement)?(?:(?: version | v ?| )2 1)?", 4, 0.93),
     ("cecill-b", "cecill b", "cecill b(?: licen[cs]e)?", 4, 0.93),
     ("cecill-c", "cecill c", "cecill c(?: licen[cs]e)?", 4, 0.93),
     ("artistic", "artistic licen", "artistic licen[cs]e", 2, 0.85),
@@ -178,8 +178,8 @@ SIGNATURES = [
     ("artistic-2.0", "artistic licen", "artistic licen[cs]e(?: version)? 2(?: 0)?", 4, 0.97),
     ("perl", "same terms as perl", "under the same terms as perl(?: itself)?", 5, 0.95),
     ("osl", "open software licen", "open software licen[cs]e", 2, 0.85),
-    ("osl-2.1", "open software licen", "open software licen[cs]e(?: version| v)? ?2 1", 4, 0.96),
-    ("osl-3.0", "open software licen", "open software licen[cs]e(?: version| v)? ?3 0", 4, 0.97),
+    ("osl-2.1", "open software licen", "open software licen[cs]e(?: version | v ?| )2 1", 4, 0.96),
+    ("osl-3.0", "open software licen", "open software licen[cs]e(?: version | v ?| )3 0", 4, 0.97),
     ("ms-pl", "microsoft public", "microsoft public licen[cs]e", 3, 0.93),
     ("ms-rl", "microsoft reciprocal", "microsoft reciprocal licen[cs]e", 3, 0.93),
     ("qpl-1.0", "q public licen", "q public licen[cs]e(?: version)?(?: 1 0)?", 4, 0.95),
@@ -189,8 +189,8 @@ SIGNATURES = [
     ("lppl-1.3c", "latex project public", "latex project public licen[cs]e(?: version)?(?: 1 3c?)?", 4, 0.95),
     # source-available
     ("busl-1.1", "business source", "business source licen[cs]e(?: version)?(?: 1 1)?", 4, 0.95),
-    ("sspl-1.0", "server side public", "server side public licen[cs]e(?: version| v)?(?: ?1)?", 4, 0.95),
-    ("elastic-2.0", "elastic licen", "elastic licen[cs]e(?: version| v)?(?: ?2 0)?", 4, 0.93),
+    ("sspl-1.0", "server side public", "server side public licen[cs]e(?:(?: version | v ?| )1)?", 4, 0.95),
+    ("elastic-2.0", "elastic licen", "elastic licen[cs]e(?:(?: version | v ?| )2 0)?", 4, 0.93),
     ("commons-clause", "commons clause", "commons clause(?: license condition)?", 3, 0.93),
     ("polyform-noncommercial", "polyform noncommercial", "polyform noncommercial licen[cs]e(?: 1 0 0)?", 4, 0.95),
     ("polyform-shield", "polyform shield", "polyform shield licen[cs]e(?: 1 0 0)?", 4, 0.95),
@@ -198,7 +198,7 @@ SIGNATURES = [
     ("rsal", "redis source available", "redis source available licen[cs]e(?: v?2)?", 4, 0.93),
     ("confluent", "confluent community", "confluent community licen[cs]e", 3, 0.93),
     ("parity-7.0.0", "parity public", "parity public licen[cs]e(?: 7 0 0)?", 4, 0.93),
-    ("openrail", "openrail", "(?:creativeml )?open ?rail(?: \\+\\+)?(?: m)?(?: licen[cs]e)?", 3, 0.9),
+    ("openrail", "openrail", "(?:creativeml )?openrail(?: m)?(?: licen[cs]e)?", 3, 0.9),
     ("hippocratic", "hippocratic", "hippocratic licen[cs]e(?: 2 1| 3 0)?", 3, 0.93),
     # public domain and its like
     ("public-domain", "public domain", "public domain", 1, 0.6),
@@ -292,7 +292,7 @@ SIGNATURES = [
     ("reserved", "no part of this", "no part of this (?:publication|book|document|work) may be reproduced", 7, 0.96),
     ("reserved", "unauthorized reproduction", "unauthorized reproduction(?: or distribution)?(?: is)?(?: strictly)? prohibited", 5, 0.93),
     ("reserved", "do not copy or distribute", "do not copy or distribute", 3, 0.8),
-    ("used-with-permission", "used with permission", "(?:re)?(?:printed|produced|used) with (?:the )?permission(?: of)?", 3, 0.75),
+    ("used-with-permission", "permission", "(?:re)?(?:printed|produced|used) with (?:the )?permission(?: of)?", 3, 0.75),
     ("used-by-permission", "by permission of", "(?:re)?(?:printed|produced|used) by permission of", 3, 0.75),
     ("proprietary", "confidential and proprietary", "confidential and proprietary", 4, 0.92),
     ("proprietary", "proprietary and confidential", "proprietary and confidential", 4, 0.92),
@@ -313,8 +313,8 @@ SIGNATURES = [
     ("non-commercial", "noncommercial use only", "(?:for )?noncommercial use only", 4, 0.88),
     ("non-commercial", "no commercial use", "no commercial use", 4, 0.85),
     ("non-commercial", "not for commercial use", "not for commercial use", 4, 0.88),
-    ("non-commercial", "personal use only", "for (?:your )?personal(?: and)?(?: non ?commercial)? use only", 4, 0.85),
-    ("non-commercial", "research purposes only", "for (?:academic|research|educational)(?: (?:and|or) (?:academic|research|educational))? purposes only", 4, 0.85),
+    ("non-commercial", "use only", "for (?:your )?personal(?: and)?(?: non ?commercial)? use only", 4, 0.85),
+    ("non-commercial", "purposes only", "for (?:academic|research|educational)(?: (?:and|or) (?:academic|research|educational))? purposes only", 4, 0.85),
     ("evaluation-only", "evaluation purposes only", "for evaluation purposes only", 4, 0.88),
     ("internal-use", "internal use only", "for internal use only", 3, 0.8),
     ("fair-use", "fair use", "(?:used )?under (?:the )?fair use", 3, 0.8),
@@ -352,5 +352,6 @@ ROOTS = [
     "redistribut", "software", "warranty", "notice", "proprietary", "commercial", "confidential", "fair", "use only", "purposes only", "terms", "trade secret", "reproduc", "copy", "beer", "wtfpl", "odbl", "mpl 2", "epl 2",
     "asl 2", "apache", "exception", "invariant", "cecill", "openrail", "creativecommons", "datenlizenz", "openstreetmap", "neither the name", "materials", "good not evil", "jpeg", "do what the",
     "same terms", "you may not", "as is", "may not be", "no part of", "by permission", "reverse engineer", "per seat", "by installing", "unencumbered", "source", "reserved", "x consortium", "x11", "bitstream", "mulan", "w3c", "openssl",
-    "united states", "commons", "implied", "font", "sspl", "government", "mozilla", "zlib",
+    "united states", "commons", "implied", "font", "sspl", "government", "mozilla", "zlib", "academic free", "blue oak", "common development", "community", "eclipse", "free documentation", "freetype",
+    "hippocratic", "microsoft", "polyform", "sleepycat", "universal permissive",
 ]

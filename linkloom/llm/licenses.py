@@ -1,9 +1,8 @@
 """License scan by ordered signature rules, in DataFrame functions only.
 
-A few hundred signature rules are hand-written as families: for each license family its names, versions and the
-sentence forms in which licenses are cited; rules(...) spells them out as regexes over the normal form of a
-text (its words, lower-cased and single-spaced). A rule is tried only on texts that contain its family's keyword. Each
-match is a detection with an interval of characters; a detection that lies inside a detection of the same
+The signature rules are written by hand, one by one (module ``license_signatures``), as regexes over the normal form of a
+text (its words, lower-cased and single-spaced). A rule is tried only on texts that contain its keyword, and keywords are looked for only in
+texts that contain one of the few roots that every keyword holds. Each match is a detection with an interval of characters; a detection that lies inside a detection of the same
 or a higher priority is suppressed, so that "cc by nc 4 0" doesn't also report the plainer "cc by".
 
 All of it happens inside the row: no shuffle, no Python. The base phrases are counted on their own, before any
@@ -22,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, documents
+from .license_signatures import ROOTS, SIGNATURES
 
 #: Words are runs of anything but these ASCII characters.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -40,106 +40,9 @@ class Rule:
     score: float
 
 
-#: family: (keyword, name pattern, versions); versions as written, the empty one for the bare name.
-FAMILIES = {
-    "apache": ("apache", "apache(?: software)? licen[cs]e", ["2.0", "1.1", "1.0"]),
-    "gpl": ("general public licen", "gnu general public licen[cs]e", ["3.0", "2.0", "1.0"]),
-    "lgpl": ("general public licen", "(?:gnu )?(?:lesser|library) general public licen[cs]e", ["3.0", "2.1", "2.0"]),
-    "agpl": ("general public licen", "(?:gnu )?affero general public licen[cs]e", ["3.0", "1.0"]),
-    "fdl": ("free documentation", "(?:gnu )?free documentation licen[cs]e", ["1.3", "1.2", "1.1"]),
-    "mpl": ("mozilla", "mozilla public licen[cs]e", ["2.0", "1.1", "1.0"]),
-    "epl": ("eclipse", "eclipse public licen[cs]e", ["2.0", "1.0"]),
-    "edl": ("eclipse", "eclipse distribution licen[cs]e", ["1.0"]),
-    "cddl": ("common development", "common development and distribution licen[cs]e", ["1.1", "1.0"]),
-    "cpl": ("common public", "common public licen[cs]e", ["1.0"]),
-    "eupl": ("european union", "european union public licen[cs]e", ["1.2", "1.1"]),
-    "artistic": ("artistic", "(?:perl )?artistic licen[cs]e", ["2.0", "1.0"]),
-    "osl": ("open software", "open software licen[cs]e", ["3.0", "2.1", "2.0"]),
-    "afl": ("academic free", "academic free licen[cs]e", ["3.0", "2.1"]),
-    "bsl": ("boost", "boost software licen[cs]e", ["1.0"]),
-    "busl": ("business source", "business source licen[cs]e", ["1.1"]),
-    "sspl": ("server side", "server side public licen[cs]e", ["1.0"]),
-    "ofl": ("open font", "(?:sil )?open font licen[cs]e", ["1.1", "1.0"]),
-    "odbl": ("open database", "open database licen[cs]e", ["1.0"]),
-    "odc-by": ("open data commons", "open data commons attribution licen[cs]e", ["1.0"]),
-    "pddl": ("public domain dedication", "(?:open data commons )?public domain dedication and licen[cs]e", ["1.0"]),
-    "mit": ("mit licen", "(?:the )?mit licen[cs]e", []),
-    "isc": ("isc licen", "(?:the )?isc licen[cs]e", []),
-    "zlib": ("zlib", "zlib(?: libpng)? licen[cs]e", []),
-    "bsd": ("bsd", "(?:new |simplified |modified )?bsd licen[cs]e", []),
-    "bsd-2-clause": ("bsd", "bsd 2 clause(?: licen[cs]e)?", []),
-    "bsd-3-clause": ("bsd", "bsd 3 clause(?: licen[cs]e)?", []),
-    "bsd-4-clause": ("bsd", "bsd 4 clause(?: licen[cs]e)?", []),
-    "unlicense": ("unlicen", "(?:the )?unlicen[cs]e", []),
-    "wtfpl": ("do what the", "do what the f\\w+ you want to public licen[cs]e", []),
-    "postgresql": ("postgresql", "postgresql licen[cs]e", []),
-    "psf": ("python software", "python software foundation licen[cs]e", ["2.0"]),
-    "ms-pl": ("microsoft", "microsoft public licen[cs]e", []),
-    "ms-rl": ("microsoft", "microsoft reciprocal licen[cs]e", []),
-}
-#: Sentence forms around a license's name, with priority and score; longer citations come first.
-FORMS = [
-    ("(?:licensed|released|distributed|available|published) under(?: the)?(?: terms of)?(?: the)? {name}", 4, 0.98),
-    ("(?:subject to|governed by|covered by)(?: the)?(?: terms of)?(?: the)? {name}", 4, 0.95),
-    ("{name}", 3, 0.85),
-]
-#: Short identifiers as they stand in identifier lines and package files.
-SHORT = {
-    "apache-2.0": "apache 2 0", "mit": "mit", "isc": "isc", "gpl-2.0": "gpl 2 0", "gpl-3.0": "gpl 3 0", "lgpl-2.1": "lgpl 2 1", "lgpl-3.0": "lgpl 3 0", "agpl-3.0": "agpl 3 0",
-    "mpl-2.0": "mpl 2 0", "epl-2.0": "epl 2 0", "bsd-2-clause": "bsd 2 clause", "bsd-3-clause": "bsd 3 clause", "cc0-1.0": "cc0 1 0", "unlicense": "unlicense", "zlib": "zlib", "bsl-1.0": "bsl 1 0",
-}
-CC_TERMS = ["by", "by-sa", "by-nc", "by-nd", "by-nc-sa", "by-nc-nd"]
-CC_VERSIONS = ["1.0", "2.0", "2.5", "3.0", "4.0"]
-CC_WORDS = {"by": "attribution", "sa": "share ?alike", "nc": "non ?commercial", "nd": "no ?deriv(?:ative)?s?(?: works)?"}
-#: Passages of licence texts and notices.
-PASSAGES = {
-    "mit": ("permission is hereby granted", "permission is hereby granted free of charge to any person obtaining a copy"),
-    "isc": ("permission to use copy modify", "permission to use copy modify and or distribute this software for any purpose"),
-    "bsd": ("redistribution and use", "redistribution and use in source and binary forms"),
-    "gpl": ("free software you can", "free software you can redistribute it and or modify it"),
-    "unlicense": ("unencumbered software", "free and unencumbered software released into the public domain"),
-    "apache-2.0": ("on an as is basis", "distributed on an as is basis without warranties or conditions of any kind"),
-    "public-domain": ("public domain", "(?:released|dedicated|placed) (?:in|into|to) the public domain"),
-    "reserved": ("rights reserved", "(?:all|no|some) rights reserved"),
-    "reserved-notice": ("copyright", "copyright (?:c )?[0-9]{4}(?: [0-9]{4})?(?: \\S+){1,4} all rights reserved"),
-    "proprietary": ("proprietary", "(?:confidential and proprietary|proprietary and confidential|proprietary licen[cs]e)"),
-    "commercial-use-forbidden": ("commercial use", "(?:not for|no) commercial use"),
-    "fair-use": ("fair use", "used under fair use"),
-}
-
-
-def _version(v: str) -> str:
-    whole, dot = v.split(".")
-    return f" (?:version |v )?v?{whole} {dot}" if dot != "0" else f" (?:version |v )?v?{whole}(?: 0)?"
-
-
 def rules() -> list[Rule]:
     """All signature rules in the order in which they are tried."""
-    found = []
-    for family, (keyword, name, versions) in FAMILIES.items():
-        for form, priority, score in FORMS:
-            for v in versions:
-                found.append(Rule(f"{family}-{v}", keyword, form.format(name=name + _version(v)), priority + 1, score))
-                if v == versions[0]:
-                    found.append(Rule(f"{family}-{v}-or-later", keyword, form.format(name=name + _version(v)) + "(?: or(?: at your option)? any later version| or later)", priority + 2, score))
-            found.append(Rule(family, keyword, form.format(name=name), priority, score - 0.1))
-    for label, words in SHORT.items():
-        found.append(Rule(label, "spdx license identifier", f"spdx license identifier {words}(?: only| or later)?", 8, 1.0))
-        found.append(Rule(label, words, f"license {words}", 3, 0.7))
-    for terms in CC_TERMS:
-        short = terms.replace("-", " ")
-        long = " ".join(CC_WORDS[t] for t in terms.split("-"))
-        rank = terms.count("-")
-        for v in CC_VERSIONS:
-            found.append(Rule(f"cc-{terms}-{v}", "cc by", f"cc {short}{_version(v)}", 4 + rank, 0.95))
-            found.append(Rule(f"cc-{terms}-{v}", "creative commons", f"creative commons {long}(?: licen[cs]e)?{_version(v)}", 4 + rank, 0.98))
-        found.append(Rule(f"cc-{terms}", "cc by", f"cc {short}", 2 + rank, 0.9))
-        found.append(Rule(f"cc-{terms}", "creative commons", f"creative commons {long}", 2 + rank, 0.9))
-    found.append(Rule("cc0-1.0", "cc0", "cc0(?: (?:version )?1 0)?", 4, 0.9))
-    found.append(Rule("cc0-1.0", "creative commons", "creative commons zero(?: (?:version )?1 0)?", 4, 0.95))
-    found.append(Rule("gpl", "general public licen", "general public licen[cs]e", 1, 0.7))
-    found += [Rule(label, keyword, regex, 3, 0.9) for label, (keyword, regex) in PASSAGES.items()]
-    return found
+    return [Rule(*s) for s in SIGNATURES]
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -224,16 +127,18 @@ def license_scan(docs: DataFrame, signatures: list[Rule] | None = None) -> DataF
 
     found_base = F.when(some_base, _let(F.regexp_extract_all("norm", F.lit(phrases), F.lit(0)), base_facts))
 
-    # a gate by keyword, then the rules of those keywords, each tried by itself
+    # a gate by root, one by keyword, then the rules of those keywords, each tried by itself
     by_keyword: dict[str, list[Rule]] = {}
     for r in signatures:
         by_keyword.setdefault(r.keyword, []).append(r)
     levels = list(range(min(r.priority for r in signatures), max(r.priority for r in signatures) + 1))
-    gated = []
-    for keyword, own in by_keyword.items():
-        literal = F.array(*[F.struct(F.lit(r.label).alias("label"), F.lit(r.regex).alias("regex"), F.lit(r.priority).alias("priority"), F.lit(r.score).alias("score")) for r in own])
-        gated.append(F.when(F.contains(F.col("norm"), F.lit(keyword)), literal).otherwise(F.array().cast("array<struct<label:string,regex:string,priority:int,score:double>>")))
-    tried = F.flatten(F.array(*gated))
+    literal = lambda r: F.struct(F.lit(r.label).alias("label"), F.lit(r.regex).alias("regex"), F.lit(r.priority).alias("priority"), F.lit(r.score).alias("score"))
+    groups = F.array(*[F.struct(F.lit(k).alias("keyword"), F.array(*map(literal, own)).alias("rules")) for k, own in by_keyword.items()])
+    held = lambda word: F.contains(F.col("norm"), word)
+    # signatures of the caller's may hold none of the roots; such a keyword is a root of its own
+    roots = [*ROOTS, *(k for k in by_keyword if not any(r in k for r in ROOTS))]
+    named = F.when(F.exists(F.array(*map(F.lit, roots)), held), F.filter(groups, lambda g: held(g["keyword"])))
+    tried = F.coalesce(F.flatten(F.transform(named, lambda g: g["rules"])), F.array().cast("array<struct<label:string,regex:string,priority:int,score:double>>"))
     spans = F.flatten(F.transform(tried, lambda r: _spans(F.col("norm"), r)))
     facts = base.select("doc_id", F.col("norm"), found_base.alias("b"), _let(spans, lambda s: _standing(s, levels)).alias("d"))
     b_labels = F.coalesce(F.col("b.labels"), F.array().cast("array<string>"))
