@@ -100,12 +100,32 @@ class Hmm:
         return cls(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
 
+def _total(values: np.ndarray, axis: int = 0) -> np.ndarray:
+    """Sum over an axis in a fixed order, so that a column's sum doesn't depend on how many others stand beside it."""
+    rows = np.moveaxis(values, axis, 0)
+    out = rows[0].copy()
+    for row in rows[1:]:
+        out += row
+    return out
+
+
+def _times(matrix: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """matrix @ values with each column summed in a fixed order; a product of BLAS rounds by the shape."""
+    out = matrix[:, :1] * values[0]
+    for j in range(1, len(values)):
+        out += matrix[:, j : j + 1] * values[j]
+    return out
+
+
 class _Stretches:
     """Sequences laid out in stretches of ``steps``, all side by side, for recursions that carry over from one to the next.
 
     No sequence is cut. The product of a stretch's step matrices takes the forward vector from its begin to its end and the
     backward vector the other way, so that the vectors at all borders follow from a walk over stretches; within its borders each stretch then
     has its exact values. Arrays are states x stretches.
+
+    In double precision (scores) every column is worked on in an order of its own, so a text's score is the same to the last
+    bit whatever texts are beside it; in single precision (training) matrix products are left to BLAS.
     """
 
     def __init__(self, hmm: Hmm, sequences: list[np.ndarray], steps: int, kind: type):
@@ -117,6 +137,7 @@ class _Stretches:
         self.nth = np.arange(len(self.owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         self.begin, self.length = first[self.owner] + self.nth * steps, np.minimum(sizes[self.owner] - self.nth * steps, steps)
         self.states, self.kind = len(hmm.start), kind
+        self.total, self.times = (_total, _times) if kind is np.float64 else (np.sum, np.matmul)
         self.start, self.move, self.emit = hmm.start.astype(kind)[:, None], hmm.move.astype(kind), hmm.emit.astype(kind)
         self.before, self.after = np.zeros((self.states, len(self.owner)), kind), np.ones((self.states, len(self.owner)), kind)
         if pieces.max() > 1:
@@ -149,22 +170,22 @@ class _Stretches:
         alive = np.searchsorted(-self.length[rest], -np.arange(long), side="left")
         for t in range(long):
             if t:
-                vectors = (onward @ vectors) * emitted(heads, t)
-                vectors /= vectors.sum(axis=0)
+                vectors = self.times(onward, vectors) * emitted(heads, t)
+                vectors /= self.total(vectors, axis=0)
             d = alive[t]
             if d:
-                now = (onward @ product[:, :, :d].reshape(k, -1)).reshape(k, k, d) * emitted(rest[:d], t)[:, None, :]
+                now = self.times(onward, product[:, :, :d].reshape(k, -1)).reshape(k, k, d) * emitted(rest[:d], t)[:, None, :]
                 product[:, :, :d] = now / now.max(axis=(0, 1)) if t % 8 == 7 else now
         product /= product.max(axis=(0, 1))
         place = np.full(len(self.begin), -1)
         place[rest] = np.arange(len(rest))
-        at, now = heads + 1, vectors / vectors.sum(axis=0)
+        at, now = heads + 1, vectors / self.total(vectors, axis=0)
         while len(at):
             self.before[:, at] = now
             more = self.of[at] > self.nth[at] + 1
             at, now = at[more], now[:, more]
-            now = (product[:, :, place[at]] * now).sum(axis=1)
-            now /= now.sum(axis=0)
+            now = self.total(product[:, :, place[at]] * now, axis=1)
+            now /= self.total(now, axis=0)
             at = at + 1
         at = np.nonzero((self.nth == self.of - 1) & (self.of > 1))[0]
         now = np.ones((k, len(at)), self.kind)
@@ -185,16 +206,16 @@ class _Stretches:
         alpha, told = (np.zeros((long, k, n), self.kind) for _ in "ab") if keep else (None, None)
         seen = np.zeros((long, n), np.int32) if keep else None
         scale = np.ones((long, n), self.kind)
-        now = np.where(self.nth[some] == 0, self.start, onward @ self.before[:, some])
+        now = np.where(self.nth[some] == 0, self.start, self.times(onward, self.before[:, some]))
         for t in range(long):
             d = alive[t]
             said = self._taken(self.emit, begin[:d] + t)
-            now = (onward @ now[:, :d] if t else now) * said
-            scale[t, :d] = now.sum(axis=0)
+            now = (self.times(onward, now[:, :d]) if t else now) * said
+            scale[t, :d] = self.total(now, axis=0)
             now /= scale[t, :d]
             if keep:
                 alpha[t, :, :d], told[t, :, :d], seen[t, :d] = now, said, self.flat[begin[:d] + t]
-        return np.log(scale, dtype=np.float64).sum(axis=0), alpha, told, scale, seen, alive
+        return self.total(np.log(scale, dtype=np.float64), axis=0), alpha, told, scale, seen, alive
 
     def counts(self, some: np.ndarray, totals: list[np.ndarray]) -> float:
         """Add the expected counts of stretches to totals; returns their log likelihood."""
