@@ -24,6 +24,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -272,8 +273,8 @@ def count_words(docs: DataFrame) -> DataFrame:
         tallies = (Counter(), Counter())
 
         def rows() -> pa.RecordBatch:
-            kinds = list(tallies[0] | tallies[1])
-            out = [pa.array(kinds, pa.binary()), *(pa.array([t[w] for w in kinds], pa.int64()) for t in tallies)]
+            kinds = list(dict.fromkeys(chain(*tallies)))
+            out = [pa.array(kinds, pa.binary()), *(pa.array(list(map(t.get, kinds, repeat(0))), pa.int64()) for t in tallies)]
             for t in tallies:
                 t.clear()
             return pa.RecordBatch.from_arrays(out, ["word", "trained", "other"])
@@ -379,8 +380,9 @@ def train_hmm(sequences: DataFrame, vocabulary: Vocabulary, states: int = STATES
     counts[own:-1] = 10**vocabulary.shared
     counts[-1] = vocabulary.ends
     hmm = Hmm.initial(counts, states, seed)
-    train = sequences.where("train")
-    some = train.where(F.pmod(F.xxhash64("doc_id", "classes"), F.lit(WARM_SHARE)) == 0)
+    train = sequences.where("train").select("classes")
+    # written on its own, or each of the first rounds would read everything
+    some = stored(sequences.where(F.col("train") & (F.pmod(F.xxhash64("doc_id", "classes"), F.lit(WARM_SHARE)) == 0)).select("classes"), "lm-warm")
     sizes = [states, states * states, vocabulary.n_classes * states, 1]
     last = -math.inf
     for nth in range(WARM_ROUNDS + rounds if vocabulary.ends else 0):
@@ -402,10 +404,10 @@ def train_hmm(sequences: DataFrame, vocabulary: Vocabulary, states: int = STATES
             yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(flat[some])], ["slot", "value"])
 
         flat = np.zeros(sum(sizes))
-        rows = (train if nth >= WARM_ROUNDS else some).select("classes")
+        rows = train if nth >= WARM_ROUNDS else some
         # states x (classes + states + 1) numbers
-        for r in rows.mapInArrow(expect, "slot int, value double").groupBy("slot").agg(F.sum("value").alias("value")).toLocalIterator():
-            flat[r.slot] = r.value
+        summed = rows.mapInArrow(expect, "slot int, value double").groupBy("slot").agg(F.sum("value").alias("value")).toArrow()
+        flat[summed.column("slot").to_numpy()] = summed.column("value").to_numpy()
         start, move, emit, (log,) = np.split(flat, np.cumsum(sizes)[:3])
         hmm = Hmm.from_counts(start, move.reshape(states, states), emit.reshape(-1, states))
         current.unpersist()
