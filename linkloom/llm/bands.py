@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach_facts, stored
+from .common import stored, with_facts
 
 BANDS, ROWS = 20, 5
 #: Almost four standard deviations of the estimate from 100 minimum hashes at similarity 0.8.
@@ -92,7 +92,7 @@ def across(members: DataFrame, signatures: DataFrame, roots: DataFrame, least: f
     parts = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("m"))
     torn = parts.groupBy("bucket").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.sum("m").alias("n"), F.max("m").alias("most"), F.count(F.lit(1)).alias("parts"))
     torn = stored(torn.where("parts > 1").select("bucket", "main", "n", (F.col("n") - F.col("most")).alias("minors")), "torn")
-    told = attach_facts(placed, torn, "bucket", "n", placed.count(), ["main", "n", "minors"]).where("main IS NOT NULL")
+    told = with_facts(placed, torn, "bucket", "n", placed.count(), ["main", "n", "minors"])
     told = stored(told.join(signatures.select("node", "low"), "node").withColumn("minor", F.col("root") != F.col("main")), "torn-members")
     blocks, minors = F.ceil(F.col("n") / chunk).cast("int"), F.ceil(F.col("minors") / chunk).cast("int")
     mine, theirs = F.pmod(F.xxhash64("node"), blocks).cast("int"), F.pmod(F.xxhash64("node"), minors).cast("int")
@@ -153,8 +153,8 @@ def proposals(signatures: DataFrame, verify, roots_of, similarity: float, chunk:
     """Verified edges (a, b) among signatures (stored; node, bands, low); verify(pairs, tag) checks pairs, roots_of(edges) finds components."""
     posted = signatures.select("node", F.posexplode("bands").alias("place", "shared")).select("node", "place", F.xxhash64("place", "shared").alias("bucket"))
     sizes = stored(bucket_sizes(posted), "bucket-sizes")
-    told = attach_facts(posted, sizes, "bucket", "n", signatures.count() * BANDS, ["n"])
-    members = stored(told.where("n IS NOT NULL").select("node", "place", "bucket", "n"), "buckets")
+    told = with_facts(posted, sizes, "bucket", "n", signatures.count() * BANDS, ["n"])
+    members = stored(told.select("node", "place", "bucket", "n"), "buckets")
 
     def promising(pairs: DataFrame) -> DataFrame:
         left, right = (signatures.select(F.col("node").alias(x), F.col("low").alias(f"low_{x}")) for x in "ab")

@@ -62,6 +62,21 @@ def attach_facts(members: DataFrame, facts: DataFrame, key: str, n: str, total:
     return joined.select(*members.columns, *[F.coalesce(F.col(f"__hot.{v}"), F.col(f"__cold.{v}")).alias(v) for v in values])
 
 
+def with_facts(members: DataFrame, facts: DataFrame, key: str, n: str, total: int, values: list[str]) -> DataFrame:
+    """Inner join of one row of facts a key with members, however many members a key has; members without facts go.
+
+    ``facts`` (stored) has in ``n`` the members of a key out of ``total``. Only members of keys with at least 1/HOT_SHARE of all
+    (at most HOT_SHARE keys, told apart by value) meet a broadcast; all others meet their facts in a shuffled join.
+    """
+    hot = [r[0] for r in facts.where(F.col(n) * HOT_SHARE >= F.lit(total)).select(key).collect()]
+    told = facts.select(key, *values)
+    if not hot:
+        return members.join(told, key).select(*members.columns, *values)
+    is_hot = F.col(key).isin(hot)
+    cold = members.where(~is_hot).join(told.where(~is_hot), key)
+    return cold.select(*members.columns, *values).union(members.where(is_hot).join(F.broadcast(told.where(is_hot)), key).select(*members.columns, *values))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
