@@ -26,22 +26,28 @@ def add_context(pairs: DataFrame, columns: list[str], prefix: str = "") -> DataF
 
 def score_context(pairs: DataFrame, p: str = "p1") -> DataFrame:
     """What a first-stage score says of a pair among its rivals: ranks, gaps, sums, counts above a half, runner-up and margin."""
+    # all of i before all of j: rows move once for each
     wi, wj = Window.partitionBy("i"), Window.partitionBy("j")
-    out = pairs.withColumns({f"{p}_rk_i": F.row_number().over(wi.orderBy(F.desc(p), "j")), f"{p}_rk_j": F.row_number().over(wj.orderBy(F.desc(p), "i"))})
     half = F.when(F.col(p) > 0.5, 1).otherwise(0)
-    second_j = F.max(F.when(F.col(f"{p}_rk_j") == 2, F.col(p))).over(wj)
+    out = pairs.withColumn(f"{p}_rk_i", F.row_number().over(wi.orderBy(F.desc(p), "j")))
     out = out.withColumns(
         {
             f"{p}_gap_i": F.max(p).over(wi) - F.col(p),
-            f"{p}_gap_j": F.max(p).over(wj) - F.col(p),
             f"{p}_sum_i": F.sum(p).over(wi),
-            f"{p}_sum_j": F.sum(p).over(wj),
             f"{p}_n05_i": F.sum(half).over(wi),
-            f"{p}_n05_j": F.sum(half).over(wj),
             "n_i": F.count(F.lit(1)).over(wi),
+            f"{p}_second_i": F.coalesce(F.max(F.when(F.col(f"{p}_rk_i") == 2, F.col(p))).over(wi), F.lit(0.0)),
+        }
+    )
+    out = out.withColumn(f"{p}_rk_j", F.row_number().over(wj.orderBy(F.desc(p), "i")))
+    second_j = F.max(F.when(F.col(f"{p}_rk_j") == 2, F.col(p))).over(wj)
+    out = out.withColumns(
+        {
+            f"{p}_gap_j": F.max(p).over(wj) - F.col(p),
+            f"{p}_sum_j": F.sum(p).over(wj),
+            f"{p}_n05_j": F.sum(half).over(wj),
             # the best rival for j: the runner-up for the best pair, the best pair for the others
             f"{p}_other_j": F.coalesce(F.when(F.col(f"{p}_rk_j") == 1, second_j).otherwise(F.max(p).over(wj)), F.lit(0.0)),
-            f"{p}_second_i": F.coalesce(F.max(F.when(F.col(f"{p}_rk_i") == 2, F.col(p))).over(wi), F.lit(0.0)),
         }
     )
     return out.withColumn(f"{p}_margin_j", F.col(p) - F.col(f"{p}_other_j"))

@@ -8,10 +8,11 @@ from pyspark.sql.window import Window
 
 
 from ..operators import blocking, context, decide, dense, evaluate, features, learn, rerank, tokens
+from ..sources.scratch import materialised
 from ..sources.tables import result_lists
 from ..sources.validate import content_errors
 from .matching import candidates, flagship, relative_score
-from .records import RECORDS_SQL, TRUTH_SQL, records_view, table, truth_view
+from .records import RECORDS_SQL, TRUTH_SQL, records_view, table, truth_classes, truth_view
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -350,7 +351,17 @@ def _(spark, d):
 
 
 def _labelled(spark, d) -> DataFrame:
-    return _scored(spark, d).join(truth_view(spark, d).withColumn("y", F.lit(1)), ["i", "j"], "left").na.fill({"y": 0})
+    """Scored pairs and whether truth_view() has them, which needs the classes of equal heads and not all pairs of a class."""
+    return _labels(spark, d, _heads(spark, d, _scored(spark, d), "i")).select("i", "j", "bs", "b_ntok", "p", "y")
+
+
+def _heads(spark, d, pairs: DataFrame, side: str) -> DataFrame:
+    return pairs.join(truth_classes(spark, d).select(F.col("doc_id").alias(side), F.col("head_id").alias(f"head_{side}")), side, "left")
+
+
+def _labels(spark, d, pairs: DataFrame) -> DataFrame:
+    y = F.coalesce((F.col("head_i") == F.col("head_j")).cast("int"), F.lit(0))
+    return _heads(spark, d, pairs, "j").withColumn("y", y).drop("head_i", "head_j")
 
 
 @query(
@@ -591,7 +602,10 @@ MODEL_COLUMNS = ["bs", "b_ntok", "p", "p_rk_i", "p_rk_j", "p_gap_i", "p_gap_j",
 
 
 def _model_input(spark, d) -> DataFrame:
-    return context.score_context(_labelled(spark, d), "p").withColumn("fold", learn.fold_of(F.col("i")))
+    """A table, as every fit and every fold that is scored reads it."""
+    # the class of i comes before the windows over j, that of j after them, where the rows are
+    made = _labels(spark, d, context.score_context(_heads(spark, d, _scored(spark, d), "i"), "p"))
+    return materialised(made.withColumn("fold", learn.fold_of(F.col("i"))), "model-input")
 
 
 @query("gbdt_scores")
