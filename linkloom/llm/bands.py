@@ -7,8 +7,10 @@ agree is at least ``similarity - SLACK``. Proposals are only that: every link is
 
 A bucket (texts of one band) of m texts is never multiplied out where its texts hang together, and never gathered in one task. First, in
 chunks of about CHUNK texts, each text meets its neighbour in a seeded order, another one in each band. Then, only in buckets that verified links leave
-in several components, the texts outside the largest component meet all others of the bucket in blocks of about CHUNK x CHUNK. Texts of one component
-needn't meet, the groups being the components. Nothing is capped.
+in several components, the texts outside the largest component meet all others of the bucket in blocks of about CHUNK x CHUNK texts of usual length. A block
+has the shingle sets, so that it verifies its pairs itself and returns links only: pairs that are alike but not enough grow with the square of a group. A pair
+is verified in the first band that it shares, and not any more once links of the block connect it. Texts of one component needn't meet, the groups being the
+components. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ BANDS, ROWS = 20, 5
 SLACK = 0.15
 #: Texts of a bucket that are gathered together, about.
 CHUNK = 4096
+#: Shingles of a text of usual length; one with more counts as several where blocks are dealt out.
+USUAL = 256
 #: Shingles hashed at once; bounds memory on very long texts.
 BLOCK = 1 << 12
 _RNG = np.random.default_rng(9)
@@ -85,39 +89,74 @@ def neighbours(members: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return chunks.select("place", "nodes").mapInArrow(walk, "a long, b long").distinct()
 
 
-def across(members: DataFrame, signatures: DataFrame, roots: DataFrame, least: float, chunk: int = CHUNK) -> DataFrame:
-    """Pairs (a, b) of a bucket in different components whose minimum hashes agree in a share of at least ``least``; a is outside the largest component."""
-    placed = members.select("bucket", "node").join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+def reach(both: np.ndarray, x: np.ndarray, y: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets of x and y shingles that share ``both`` have the similarity."""
+    return (both >= similarity * (x + y - both) - 1e-9) & (both > 0)
+
+
+def block_links(place: int, ms: pa.StructArray, similarity: float) -> tuple[list[int], list[int]]:
+    """Links from the asking texts of a block to texts of other components, as many as connect them."""
+    node, root = ms.field("node").to_numpy(), ms.field("root").to_numpy().copy()
+    asks, minor = (ms.field(c).to_numpy(zero_copy_only=False) for c in ("asks", "minor"))
+    low = np.frombuffer(b"".join(ms.field("low").to_pylist()), np.uint8).reshape(len(node), -1)
+    earlier = ms.field("bands").flatten().to_numpy().reshape(len(node), -1)[:, :place]
+    sizes, held = ms.field("held").value_lengths().to_numpy().astype(np.int64), ms.field("held").flatten().to_numpy().view(np.uint64)
+    starts = np.cumsum(sizes) - sizes
+    others, a, b = np.nonzero(~asks)[0], [], []
+    for k in np.nonzero(asks)[0]:
+        # of two texts outside the largest component the one with the smaller node asks
+        rest = others[(root[others] != root[k]) & ~(minor[others] & (node[others] < node[k]))]
+        rest = rest[np.minimum(sizes[rest], sizes[k]) >= similarity * np.maximum(sizes[rest], sizes[k]) - 1e-9]
+        rest = rest[~(earlier[rest] == earlier[k]).any(axis=1)]
+        same = np.count_nonzero(low[rest] == low[k], axis=1)
+        near = same >= (similarity - SLACK) * low.shape[1]
+        rest = rest[near][np.argsort(-same[near], kind="stable")]
+        mine = held[starts[k] : starts[k] + sizes[k]]
+        # the likeliest first, and ever more at once
+        step = 1
+        while len(rest):
+            some, rest, step = rest[:step], rest[step:], min(2 * step, 256)
+            found = np.concatenate([held[starts[x] : starts[x] + sizes[x]] for x in some])
+            hit = mine[np.minimum(np.searchsorted(mine, found), len(mine) - 1)] == found
+            both = np.add.reduceat(hit.astype(np.int64), np.cumsum(sizes[some]) - sizes[some])
+            for x in some[reach(both, sizes[some], sizes[k], similarity)]:
+                if root[x] != root[k]:
+                    a.append(int(node[k]))
+                    b.append(int(node[x]))
+                    root[root == root[x]] = root[k]
+            rest = rest[root[rest] != root[k]]
+    return a, b
+
+
+def across(members: DataFrame, signatures: DataFrame, roots: DataFrame, sets_of, similarity: float, chunk: int = CHUNK) -> DataFrame:
+    """Verified links (a, b) between texts of a bucket in different components; a is outside the largest component. sets_of(nodes, tag) has their shingle sets."""
+    placed = members.select("place", "bucket", "node").join(roots, "node", "left").select("place", "bucket", "node", F.coalesce("root", "node").alias("root"))
     placed = stored(placed, "rooted")
     parts = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("m"))
-    torn = parts.groupBy("bucket").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.sum("m").alias("n"), F.max("m").alias("most"), F.count(F.lit(1)).alias("parts"))
-    torn = stored(torn.where("parts > 1").select("bucket", "main", "n", (F.col("n") - F.col("most")).alias("minors")), "torn")
-    told = with_facts(placed, torn, "bucket", "n", placed.count(), ["main", "n", "minors"])
-    told = stored(told.join(signatures.select("node", "low"), "node").withColumn("minor", F.col("root") != F.col("main")), "torn-members")
-    blocks, minors = F.ceil(F.col("n") / chunk).cast("int"), F.ceil(F.col("minors") / chunk).cast("int")
-    mine, theirs = F.pmod(F.xxhash64("node"), blocks).cast("int"), F.pmod(F.xxhash64("node"), minors).cast("int")
-    facts = ["bucket", "node", "root", "low"]
-    each = told.select(*facts, F.lit(False).alias("asks"), mine.alias("i"), F.explode(F.sequence(F.lit(0), minors - 1)).alias("j"))
-    asks = told.where("minor").select(*facts, F.lit(True).alias("asks"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("i"), theirs.alias("j"))
-    grid = each.union(asks).groupBy("bucket", "i", "j").agg(F.collect_list(F.struct("node", "root", "low", "asks")).alias("ms"))
+    torn = parts.groupBy("bucket").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.sum("m").alias("n"), F.count(F.lit(1)).alias("parts"))
+    torn = stored(torn.where("parts > 1").select("bucket", "main", "n"), "torn")
+    told = stored(with_facts(placed, torn, "bucket", "n", placed.count(), ["main", "n"]), "torn-members")
+    sets = sets_of(told.select("node"), "across")
+    minor = F.col("root") != F.col("main")
+    told = told.join(sets.select("node", F.ceil(F.size("held") / USUAL).alias("weight")), "node").select("place", "bucket", "node", "root", minor.alias("minor"), "weight", "n")
+    told = stored(told, "weighed")
+    sizes = told.groupBy("bucket").agg(F.max("n").alias("n"), F.sum("weight").alias("all"), F.sum(F.when(F.col("minor"), F.col("weight")).otherwise(0)).alias("minors"))
+    deal = [F.ceil(F.col(c) / chunk).cast("int").alias(name) for c, name in (("all", "blocks"), ("minors", "lanes"))]
+    told = with_facts(told.drop("n"), stored(sizes.select("bucket", "n", *deal), "deals"), "bucket", "n", told.count(), ["blocks", "lanes"])
+    mine, theirs = F.pmod(F.xxhash64("node"), "blocks").cast("int"), F.pmod(F.xxhash64("node"), "lanes").cast("int")
+    facts = ["place", "bucket", "node", "root", "minor"]
+    each = told.select(*facts, F.lit(False).alias("asks"), mine.alias("i"), F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("j"))
+    asks = told.where("minor").select(*facts, F.lit(True).alias("asks"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"), theirs.alias("j"))
+    full = each.union(asks).join(signatures.select("node", "low", "bands").join(sets, "node"), "node")
+    grid = full.groupBy("place", "bucket", "i", "j").agg(F.collect_list(F.struct("node", "root", "low", "bands", "held", "minor", "asks")).alias("ms"))
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = [], []
-            for ms in batch.column(0):
-                ms = ms.values
-                node, root = ms.field("node").to_numpy(), ms.field("root").to_numpy()
-                asks = ms.field("asks").to_numpy(zero_copy_only=False)
-                low = np.frombuffer(b"".join(ms.field("low").to_pylist()), np.uint8).reshape(len(node), -1)
-                others = np.nonzero(~asks)[0]
-                for k in np.nonzero(asks)[0]:
-                    rest = others[root[others] != root[k]]
-                    near = rest[np.count_nonzero(low[rest] == low[k], axis=1) >= least * low.shape[1]]
-                    a.append(np.full(len(near), node[k]))
-                    b.append(node[near])
-            yield _pairs(a, b)
+            for place, ms in zip(batch.column(0).to_pylist(), batch.column(1)):
+                a, b = block_links(place, ms.values, similarity)
+                yield _pairs([np.array(a, np.int64)], [np.array(b, np.int64)])
 
-    return grid.select("ms").mapInArrow(walk, "a long, b long").distinct()
+    return grid.select("place", "ms").mapInArrow(walk, "a long, b long").distinct()
 
 
 def agree(least: float) -> Column:
@@ -143,14 +182,14 @@ def alike(similarity: float) -> Column:
                 x, y = x.values.to_numpy(), y.values.to_numpy()
                 # the sizes alone can rule a pair out
                 both = 0 if min(len(x), len(y)) < similarity * max(len(x), len(y)) else len(np.intersect1d(x, y, assume_unique=True))
-                out.append(both >= similarity * (len(x) + len(y) - both) - 1e-9 and both > 0)
+                out.append(bool(reach(both, len(x), len(y), similarity)))
             yield pa.array(out, pa.bool_())
 
     return reaches("of_a", "of_b")
 
 
-def proposals(signatures: DataFrame, verify, roots_of, similarity: float, chunk: int = CHUNK) -> list[DataFrame]:
-    """Verified edges (a, b) among signatures (stored; node, bands, low); verify(pairs, tag) checks pairs, roots_of(edges) finds components."""
+def proposals(signatures: DataFrame, verify, roots_of, sets_of, similarity: float, chunk: int = CHUNK) -> list[DataFrame]:
+    """Verified edges (a, b) among signatures (stored; node, bands, low); verify(pairs, tag) checks pairs, roots_of(edges) finds components, sets_of(nodes, tag) shingle sets."""
     posted = signatures.select("node", F.posexplode("bands").alias("place", "shared")).select("node", "place", F.xxhash64("place", "shared").alias("bucket"))
     sizes = stored(bucket_sizes(posted), "bucket-sizes")
     told = with_facts(posted, sizes, "bucket", "n", signatures.count() * BANDS, ["n"])
@@ -161,4 +200,4 @@ def proposals(signatures: DataFrame, verify, roots_of, similarity: float, chunk:
         return pairs.join(left, "a").join(right, "b").where(agree(similarity - SLACK)).select("a", "b")
 
     near = verify(promising(neighbours(members, chunk)), "near")
-    return [near, verify(across(members, signatures, roots_of(near), similarity - SLACK, chunk), "across")]
+    return [near, stored(across(members, signatures, roots_of(near), sets_of, similarity, chunk), "across")]

@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +23,8 @@ SPACES = " \t\n\x0b\x0c\r"
 #: A key counts as hot when it holds at least this share of all rows, so that at most
 #: HOT_SHARE keys can be hot: that is the proven bound of what attach_facts() broadcasts.
 HOT_SHARE = 1000
+#: Marks of may_hold(), and how many of them Spark's bitmaps have.
+MARKS, MARKS_A_ROW = 1 << 23, 1 << 15
 
 
 def ascii_lower(text: Column) -> Column:
@@ -77,6 +82,24 @@ def with_facts(members: DataFrame, facts: DataFrame, key: str, n: str, total: in
     return cold.select(*members.columns, *values).union(members.where(is_hot).join(F.broadcast(told.where(is_hot)), key).select(*members.columns, *values))
 
 
+def may_hold(wanted: DataFrame, key: str) -> Column:
+    """Whether the long column ``key`` may be among those of wanted: always where it is, seldom where it isn't. One megabyte of marks whatever the input."""
+    place = F.pmod(F.xxhash64(key), F.lit(MARKS)) + 1
+    rows = wanted.select(place.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    marks = np.zeros((MARKS // MARKS_A_ROW, MARKS_A_ROW // 8), np.uint8)
+    for k, bits in rows.collect():
+        marks[k - 1] = np.frombuffer(bits, np.uint8)
+    marks = marks.ravel()
+
+    @F.arrow_udf("boolean")
+    def marked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for at in batches:
+            at = at.to_numpy() - 1
+            yield pa.array((marks[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
+
+    return marked(place)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bands
-from .common import WORD, attach_facts, documents, stored
+from .common import WORD, attach_facts, documents, may_hold, stored
 
 SHINGLE = 3
 SEED = 42
@@ -294,11 +294,15 @@ def similar_links(docs: DataFrame, similarity: float = SIMILARITY, width: int =
     signatures = noded.select("node", signature_udf(width)("text").alias("s")).groupBy("node").agg(F.first("s").alias("s"))
     signatures = stored(signatures.select("node", "s.*"), "signatures")
 
+    def sets_of(nodes: DataFrame, tag: str) -> DataFrame:
+        wanted = stored(nodes.distinct(), f"{tag}-nodes")
+        # texts that nobody asks for don't move
+        texts = noded.where(may_hold(wanted, "node")).join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+        return stored(texts.select("node", shingles_udf(width)("text").alias("held")), "shingles")
+
     def verify(pairs: DataFrame, tag: str) -> DataFrame:
         pairs = stored(pairs, f"{tag}-pairs")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        texts = noded.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
-        sets = stored(texts.select("node", shingles_udf(width)("text").alias("held")), "shingles")
+        sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), tag)
         left, right = (sets.select(F.col("node").alias(x), F.col("held").alias(f"of_{x}")) for x in "ab")
         return stored(pairs.join(left, "a").join(right, "b").where(bands.alike(similarity)).select("a", "b"), tag)
 
@@ -309,7 +313,7 @@ def similar_links(docs: DataFrame, similarity: float = SIMILARITY, width: int =
     ends = [prints.select(F.col("fp").alias(x), F.col("first").alias(f"node_{x}")) for x in "ab"]
     linked = links(prints.select("fp"), max_bits).join(ends[0], "a").join(ends[1], "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     found = [verify(equal.union(linked), "printed")]
-    return found + bands.proposals(signatures, verify, lambda near: components(found[0].union(near)), similarity)
+    return found + bands.proposals(signatures, verify, lambda near: components(found[0].union(near)), sets_of, similarity)
 
 
 def keep_one_per_group(docs: DataFrame, similarity: float = SIMILARITY, width: int = STAGE_SHINGLE) -> DataFrame:

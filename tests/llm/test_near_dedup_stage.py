@@ -4,9 +4,11 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from linkloom.llm import bands
+from linkloom.llm import bands, simhash
+from linkloom.llm.common import may_hold
 
 
 def shingles(text, width=5):
@@ -59,3 +61,31 @@ def test_near_copies_equal_brute_force(spark, monkeypatch, chunk):
     frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)
     stage = dict(corpus_pipeline.STAGES)["near_dedup"]
     assert {r.doc_id for r in stage(spark, frame, "").collect()} == want
+
+
+@pytest.mark.parametrize("alike", [0, 3])
+def test_pairs_that_are_not_alike_enough_make_no_rows(spark, monkeypatch, alike):
+    """Texts of one core at similarity 0.7 to each other: each pair of them was a row that was verified. A few are alike."""
+    rng, made = random.Random(6), {}
+    real = bands.stored
+
+    def kept(df, tag):
+        made[tag] = real(df, tag)
+        return made[tag]
+
+    monkeypatch.setattr(simhash, "stored", kept)
+    monkeypatch.setattr(bands, "stored", kept)
+    core = [f"w{k}" for k in range(300)]
+    docs = {k: " ".join([*core, *(f"z{k}x{e}" for e in range(60))]) for k in range(150)}
+    docs |= {200 + k: docs[k] + " more" for k in range(alike)}
+    want, links = brute_kept(docs)
+    assert links == alike
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)
+    assert {r.doc_id for r in simhash.keep_one_per_group(frame).collect()} == want
+    assert sum(made[tag].count() for tag in made if tag.endswith("-pairs")) < 25 * len(docs) and made["across"].count() <= 20 * alike
+
+
+def test_marks_hold_all_that_is_wanted(spark):
+    wanted = spark.range(-500, 500).select((F.col("id") * 10**15).alias("node"))
+    kept = spark.range(-5000, 5000).select((F.col("id") * 10**15).alias("node")).where(may_hold(wanted, "node"))
+    assert 1000 <= kept.count() < 1100 and kept.join(wanted, "node", "left_semi").count() == 1000
