@@ -251,8 +251,9 @@ def _(spark, d):
 
 @query("fuzzy_pairs")
 def _(spark, d):
-    made = features.string_features(_attached(spark, d))
-    return made.select("i", "j", *[F.round(c, 4).alias(c) for c in ("n_ratio", "n_tset", "n_tsort", "n_partial", "a_tset", "a_partial", "sk_ratio", "nf_tset")])
+    wanted = ["n_ratio", "n_tset", "n_tsort", "n_partial", "a_tset", "a_partial", "sk_ratio", "nf_tset"]
+    made = features.string_features(_attached(spark, d), wanted)
+    return made.select("i", "j", *[F.round(c, 4).alias(c) for c in wanted])
 
 
 CONTEXT_SQL = ", ".join(
